@@ -27,7 +27,7 @@ def check(spark, rows, window=1024, parts=3):
     for d, g in got.groupby("doc_id"):
         for _, r in g.iterrows():
             piece = [x[r["start"] : r["start"] + r["length"]] for x in want[d] if len(x) == r["doc_tokens"]]
-            assert r["ids"].tolist() in piece
+            assert list(r["ids"]) in piece
             assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], dtype="<u4").tobytes())
         assert g["first_piece"].sum() == g["last_piece"].sum() == len(want[d])
         assert g["length"].sum() == sum(map(len, want[d]))

@@ -20,8 +20,54 @@ def op1_concat_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.quality import judge
+
+    return judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.simhash import hex16, near_duplicates
+
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op6_url_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.urlrules import match, rule_table
+
+    return match(_table(spark, sf_dir, "pages"), rule_table(spark))
+
+
+def op10_flow_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.resharding import plan
+
+    placed = plan(_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard", "moved")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_concat_pack": op1_concat_pack,
+    "op2_risk_controlled_quality": op2_risk_controlled_quality,
+    "op4_simhash_pigeonhole": op4_simhash_pigeonhole,
+    "op6_url_range_join": op6_url_range_join,
+    "op10_flow_reshard": op10_flow_reshard,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_url_range_join": r"""
+WITH p AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), s AS (
+  SELECT page_id, lower(regexp_extract(rest, '^([^/?#]*)', 1)) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p
+), r AS (
+  SELECT * FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) t(verdict, host, path)
+), m AS (
+  SELECT s.page_id, r.host || r.path AS rule, r.verdict,
+    row_number() OVER (PARTITION BY s.page_id ORDER BY length(r.host) DESC, length(r.path) DESC) AS k
+  FROM s JOIN r ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path)
+)
+SELECT s.page_id, s.host, s.path, m.rule, coalesce(m.verdict, 'allow') AS verdict
+FROM s LEFT JOIN m ON m.page_id = s.page_id AND m.k = 1
+""",
+}
