@@ -26,6 +26,13 @@ def op2_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.warc import as_responses, derivatives
+
+    found = derivatives(as_responses(_table(spark, sf_dir, "pages")))
+    return found.withColumnRenamed("source_id", "page_id").withColumn("block", F.col("block").cast("string"))
+
+
 def op4_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordloom.llm.simhash import hex16, near_duplicates
 
@@ -33,12 +40,30 @@ def op4_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.suffix_tree import score
+
+    return score(_table(spark, sf_dir, "documents"))
+
+
 def op6_url_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordloom.llm.urlrules import match, rule_table
 
     return match(_table(spark, sf_dir, "pages"), rule_table(spark))
 
 
+def op7_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.htmlblocks import extract
+
+    return extract(_table(spark, sf_dir, "pages"))
+
+
+def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.decontamination import contaminated
+
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_flow_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordloom.llm.resharding import plan
 
@@ -49,8 +74,12 @@ def op10_flow_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_concat_pack": op1_concat_pack,
     "op2_risk_controlled_quality": op2_risk_controlled_quality,
+    "op3_warc_derivatives": op3_warc_derivatives,
     "op4_simhash_pigeonhole": op4_simhash_pigeonhole,
+    "op5_suffix_tree_score": op5_suffix_tree_score,
     "op6_url_range_join": op6_url_range_join,
+    "op7_html_blocks": op7_html_blocks,
+    "op8_template_decontamination": op8_template_decontamination,
     "op10_flow_reshard": op10_flow_reshard,
 }
 
