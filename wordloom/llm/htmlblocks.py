@@ -152,6 +152,10 @@ LABELLED: list[tuple[str, list[str]]] = [
     (f"<article><h1>With remarks</h1><p>{_P * 3}</p><div id=sidebar><p>{_P}</p></div><blockquote>Said well.</blockquote><ul><li>First point</li><li>Second point here</li></ul></article>", ["With remarks", _P * 3, "Said well.", "First point", "Second point here"]),
     ("<ul><li><a href=a>A</a></li><li><a href=b>B</a></li><li><a href=c>C d</a></li></ul><p><a href=z>All of these links in a long row of words that goes on and on</a></p>", []),
     (f"<div class=cookie-notice><p>{_P}</p></div><div class=post-content><p>Hi.</p><p><a href=x>A link of its own</a></p><p>{_P}</p></div><div class=related><p>{_P}</p></div>", ["Hi.", "A link of its own", _P]),
+    (f"<nav><a href=a>Top</a></nav><article><h1>Ends</h1><p>{_P}</p><p>Be.</p></article><footer>Imprint</footer>", ["Ends", _P, "Be."]),
+    ("<aside>Ad</aside><article><h1>Tiny</h1><p>Of it.</p><p>Yes.</p></article><footer>Bye</footer>", ["Tiny", "Of it.", "Yes."]),
+    ("<main><p>Go.</p><p>On.</p></main><div class=banner>Deal</div>", ["Go.", "On."]),
+    ("<article><p>Only this.</p></article>", ["Only this."]),
     ("<p>Menu</p><div><a href=a>x</a></div><div>Copyright</div>", []),
     (f"<footer><p>{_P * 2}</p></footer><nav>{_P}</nav><form>{_P}</form>", []),
 ]

@@ -64,6 +64,12 @@ def op8_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_suffix_group_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.suffix_dedup import removal
+
+    return removal(_table(spark, sf_dir, "documents"))
+
+
 def op10_flow_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordloom.llm.resharding import plan
 
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_url_range_join": op6_url_range_join,
     "op7_html_blocks": op7_html_blocks,
     "op8_template_decontamination": op8_template_decontamination,
+    "op9_suffix_group_dedup": op9_suffix_group_dedup,
     "op10_flow_reshard": op10_flow_reshard,
 }
 
