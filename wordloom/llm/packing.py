@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from wordloom.llm._shared import staged, text_batches
 
 WINDOW = 1024
 #: Entries of a worker's table of encoded pieces; it is emptied when full.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 900_000
 #: A piece ends before a blank that separates two words, where the tokenizer's own pre-splitter also cuts.
 _PIECE = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+")
 #: White space on which splitters disagree: texts that hold it are encoded as a whole.
@@ -55,11 +56,17 @@ class PieceEncoder:
         known = self.known
         if len(known) > CACHE_ENTRIES:
             known.clear()
-        new = list({p for ps in pieces if ps for p in ps if p not in known})
+        new = list(set().union(*(ps for ps in pieces if ps)).difference(known))
         for k in range(0, len(new), 20_000):
             part = new[k : k + 20_000]
             known.update(zip(part, self._raw(part)))
-        return [self._raw([t])[0] if ps is None else b"".join([known[p] for p in ps]) for t, ps in zip(texts, pieces)]
+        return [self._raw([t])[0] if ps is None else b"".join(map(known.__getitem__, ps)) for t, ps in zip(texts, pieces)]
+
+
+@lru_cache(maxsize=2)
+def worker_encoder(path: str) -> PieceEncoder:
+    """One encoder for each Python worker, which serves many tasks."""
+    return PieceEncoder(path)
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = 0, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -67,7 +74,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = 0, text: str =
     end = np.array([end_id], dtype="<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_path)
+        encoder = worker_encoder(tokenizer_path)
         part = TaskContext.get().partitionId()
         at = 0
         for batch in batches:
