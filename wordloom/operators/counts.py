@@ -14,6 +14,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return corpus_tokens(docs).groupBy("lang", "word").agg(F.count("*").alias("cnt"))
 
 
+def vocabulary(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """A1 with spelling evidence, in one pass: lang, word, cnt, spread (in two documents or more)."""
+    return corpus_tokens(docs, keep=(key,)).groupBy("lang", "word").agg(F.count("*").alias("cnt"), F.coalesce(F.min(key) < F.max(key), F.lit(False)).alias("spread"))
+
+
 def with_zipf(counts: DataFrame) -> DataFrame:
     """F29 for each (lang, word); totals are one row for each language."""
     totals = counts.groupBy("lang").agg(F.sum("cnt").alias("total"))
@@ -83,11 +88,10 @@ def unigrams(ranked: DataFrame, n: int) -> DataFrame:
 
 def bigrams(docs: DataFrame, text: str = "text", by: list[str] = ("lang",)) -> DataFrame:
     """Previous, current, cnt and a weight from 0 to 1000 relative to the commonest."""
-    w = X.words(F.col(text))
-    # Both sides are slices: inside a lambda over one of them, the other would be split again for each element.
-    n = F.greatest(F.size(w) - 1, F.lit(0))
-    pairs = F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), lambda a, b: F.struct(a.alias("previous"), b.alias("current")))
-    counted = docs.select(*by, F.explode(pairs).alias("p")).groupBy(*by, "p.previous", "p.current").agg(F.count("*").alias("cnt"))
+    n = F.greatest(F.size("w") - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice("w", F.lit(1), n).alias("previous"), F.slice("w", F.lit(2), n).alias("current"))
+    # The words are a column of their own, so that a text is split once and not for each mention.
+    counted = docs.select(*by, X.words(F.col(text)).alias("w")).select(*by, F.explode(pairs).alias("p")).groupBy(*by, "p.previous", "p.current").agg(F.count("*").alias("cnt"))
     most = counted.groupBy(*by).agg(F.max("cnt").alias("most"))
     return (counted.join(most, list(by)) if by else counted.crossJoin(most)).withColumn("weight", F.floor(F.lit(1000) * F.col("cnt") / F.col("most")).cast("int")).drop("most")
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wordloom.config import WESTERN
 from wordloom.functions import text as X
 from wordloom.operators import casing, counts, coverage, gates, history, modules, registry, selecting
+from wordloom.sources.writers import settled
 from wordloom.streaming import streams
 
 CFG = replace(WESTERN, own_cap=5.0, rival_floor=4.5, rival_lead=0.2, known_zipf=5.0, typo_gaps=((3, 0.6), (5, 0.5), (10_000, 0.4)), guards=("de", "la", "le"))
@@ -40,6 +41,11 @@ def _zipfs(spark, d):
     return counts.with_zipf(counts.word_counts(_t(spark, d, "documents")))
 
 
+def _vocabulary(spark, d):
+    """lang, word, cnt, spread, zipf: the corpus is read once, every evidence set comes from this table."""
+    return counts.with_zipf(settled(counts.vocabulary(_t(spark, d, "documents")), "vocabulary"))
+
+
 def _own(zipfs, lang: str = CFG.language):
     return zipfs.where(F.col("lang") == lang)
 
@@ -67,17 +73,17 @@ v AS (SELECT word, lang, zipf, row_number() OVER (PARTITION BY word ORDER BY zip
 f AS (SELECT word, zipf_own, v.lang AS rival, v.zipf AS zipf_rival FROM w JOIN v USING (word) WHERE k = 1 AND zipf >= {_FLOOR} AND zipf > round(zipf_own + {_LEAD}, 6) AND zipf_own < {_CAP})"""
 
 
-def _spelled(docs, lang: str = CFG.language):
+def _spelled(vocabulary, lang: str = CFG.language):
     """Spelling evidence: words of two documents or more."""
-    tokens = docs.where(F.col("lang") == lang).select("doc_id", F.explode(F.array_distinct(X.words(F.col("text")))).alias("word"))
-    return tokens.groupBy("word").agg(F.count("*").alias("n")).where("n >= 2").select("word")
+    return _own(vocabulary, lang).where("spread").select("word")
 
 
 _SPELL = "s AS (SELECT word FROM t WHERE lang = 'fr' GROUP BY word HAVING count(DISTINCT doc_id) >= 2)"
 
 
 def typo_targets(spark, d):
-    return selecting.typo_targets(_own(_zipfs(spark, d)).select("word", "zipf"), _spelled(_t(spark, d, "documents")), CFG)
+    vocabulary = _vocabulary(spark, d)
+    return selecting.typo_targets(_own(vocabulary).select("word", "zipf"), _spelled(vocabulary), CFG)
 
 
 _DELETES = "unnest(list_distinct(list_transform(range(1, length(word) + 1), lambda i: substring(word, 1, (i - 1)::bigint) || substring(word, (i + 1)::bigint)))) AS k"
@@ -93,10 +99,9 @@ typo AS (SELECT word, target, kind, gap FROM y WHERE k = 1)"""
 
 
 def _cascaded(spark, d, guards: tuple[str, ...] = CFG.guards):
-    docs = _t(spark, d, "documents")
-    zipfs = _zipfs(spark, d)
+    zipfs = _vocabulary(spark, d)
     ranked = _ranked(spark, d, zipfs)
-    spell = _spelled(docs)
+    spell = _spelled(zipfs)
     sets = {
         "spell": spell,
         "keyboard": _t(spark, d, "conversations").select(F.explode(X.words(F.col("text"))).alias("word")).distinct(),
@@ -107,7 +112,7 @@ def _cascaded(spark, d, guards: tuple[str, ...] = CFG.guards):
     foreign = selecting.foreign_dominant(zipfs, CFG).select("word", "rival")
     typo = selecting.typo_targets(_own(zipfs).select("word", "zipf"), spell, CFG).select("word", F.col("target").alias("typo_target"))
     rows = rows.join(foreign, "word", "left").join(typo, "word", "left")
-    return selecting.suppress_aliases(selecting.cascade(rows), CFG)
+    return settled(selecting.suppress_aliases(selecting.cascade(rows), CFG), "cascade")
 
 
 _CASCADE = rf"""kbd AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM conversations),
@@ -144,14 +149,15 @@ def capacity_displaced(spark, d):
 
 
 def alias_suppressed(spark, d):
-    rows = counts.with_zipf(counts.word_counts(_t(spark, d, "documents"))).where("lang = 'fr'").select("word", "zipf")
-    known = selecting.with_evidence(rows, {"spell": _spelled(_t(spark, d, "documents"))}).where(X.has_mark(F.col("word"), CFG) | ~F.col("spell"))
+    rows = _own(counts.with_zipf(counts.vocabulary(_t(spark, d, "documents")))).select("word", "zipf", F.col("spread").alias("spell"))
+    known = rows.where(X.has_mark(F.col("word"), CFG) | ~F.col("spell"))
     kept = known.withColumn("decision", F.lit("keep")).withColumn("reason", F.lit("candidate"))
     return selecting.suppress_aliases(kept, CFG).where("decision = 'drop'").select("word", "reason")
 
 
 def evidence_coverage(spark, d):
-    rows = selecting.with_evidence(_ranked(spark, d), {"spell": _spelled(_t(spark, d, "documents")), "keyboard": _t(spark, d, "conversations").select(F.explode(X.words(F.col("text"))).alias("word"))})
+    vocabulary = _vocabulary(spark, d)
+    rows = selecting.with_evidence(_ranked(spark, d, vocabulary), {"spell": _spelled(vocabulary), "keyboard": _t(spark, d, "conversations").select(F.explode(X.words(F.col("text"))).alias("word"))})
     return coverage.evidence_coverage(rows.withColumn("marked", X.has_mark(F.col("word"), CFG)), ["spell", "keyboard", "marked"])
 
 

@@ -177,6 +177,6 @@ def read_snapshot(spark: SparkSession, path, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).schema("key string, rank int").load(path)
 
 
-def corpus_tokens(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Lang, word for each token of a corpus."""
-    return docs.select(F.col(lang).alias("lang"), F.explode(X.words(F.col(text))).alias("word"))
+def corpus_tokens(docs: DataFrame, text: str = "text", lang: str = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Lang, word for each token of a corpus, with the columns to ``keep``."""
+    return docs.select(*keep, F.col(lang).alias("lang"), F.explode(X.words(F.col(text))).alias("word"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,25 @@ def source_manifest(spark: SparkSession, path) -> DataFrame:
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"), "modificationTime")
 
 
+_own_dir: list[str] = []
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the folder that ``spark.checkpoint.dir`` names, for results that several branches of a plan read.
+
+    Only where that setting is missing (unit tests, a laptop) is a folder made here.
+    """
+    spark = df.sparkSession
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not _own_dir:
+            _own_dir.append(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        top = _own_dir[0]
+    path = f"{top.rstrip('/')}/lexicon/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_decisions(decisions: DataFrame, path: str) -> None:
     """K5: a row for each key with its decision and reason, by class of reason."""
     decisions.withColumn("reason_class", reason_class(F.col("reason"))).write.partitionBy("reason_class").parquet(path)
