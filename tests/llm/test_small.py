@@ -108,6 +108,7 @@ def test_main_text():
     <form><p>Your mail</p><input><button>Send</button></form><section class="comments"><p>A reader says something long enough to look like text of the page</p></section></article>
     <aside><p>Other story</p></aside><footer>&copy; all</footer>"""
     assert htmlblocks.main_text(page) == "Head & tail\nOne two three four bolded é\nOk.\nUnclosed link text"
+    assert htmlblocks.main_text('<html class="js menu"><body class="post has-sidebar no-comments"><nav>Home</nav><article><p>One two three four.</p></article><p class="footer">End</p></body></html>') == "One two three four."
     assert htmlblocks.main_text(None) == "" and htmlblocks.main_text("") == "" and htmlblocks.main_text("<p") == ""
 
 

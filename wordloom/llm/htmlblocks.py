@@ -50,7 +50,9 @@ _MAIN_WORDS = frozenset("article content entry main post story articlebody body
 
 
 def _hints(tag: str, attrs: str) -> tuple[bool, bool]:
-    """Whether a container is boilerplate, and whether it is the article's."""
+    """Whether a container is boilerplate, and whether it is the article's. What the whole page is called says neither."""
+    if tag in ("html", "body"):
+        return False, False
     boiler, main = tag in _BOILER_TAGS, tag in _MAIN_TAGS
     if attrs:
         for name, value in _ATTR.findall(attrs):
