@@ -308,6 +308,54 @@ def bigram_topk(spark, d):
     return counts.top_next(counts.bigrams(_t(spark, d, "documents")), 3)
 
 
+def bigram_weights(spark, d):
+    return counts.bigrams(_t(spark, d, "documents"))
+
+
+def _words(spark, d, table: str):
+    return _t(spark, d, table).select(F.explode(X.words(F.col("text"))).alias("word"))
+
+
+def candidate_ranks(spark, d):
+    base = counts.word_counts(_t(spark, d, "documents").where("lang = 'en'")).select("word", "cnt")
+    return selecting.candidate_ranks(base, [_words(spark, d, "conversations"), _words(spark, d, "benchmark")]).select("rank", "word", "layer")
+
+
+def candidate_gate(spark, d):
+    return selecting.gate_candidates(counts.word_counts(_t(spark, d, "documents")).select("word").distinct(), CFG)[1]
+
+
+def vocabulary(spark, d):
+    return counts.vocabulary(_t(spark, d, "documents"))
+
+
+def top_zipf(spark, d):
+    return selecting.top_sample(_own(_zipfs(spark, d)).select("word", "zipf"), "zipf")
+
+
+def audit_status(spark, d):
+    """C5 over all French words: benchmark words are the regression list, spoken ones the preview."""
+    zipf = lambda *langs: F.coalesce(F.max(F.when(F.col("lang").isin(*langs), F.col("zipf"))), F.lit(0.0))
+    rows = _zipfs(spark, d).groupBy("word").agg(zipf(CFG.language).alias("zipf_own"), zipf(*CFG.rivals).alias("zipf_rival")).where("zipf_own > 0")
+    rows = selecting.with_evidence(rows, {"regression": _words(spark, d, "benchmark"), "in_preview": _words(spark, d, "conversations")})
+    return selecting.audit_status(rows.withColumn("excluded", F.col("word").isin(*CFG.guards)), CFG).select("word", "audit_status")
+
+
+def module_seen(spark, d):
+    """How many of the spoken and the asked surfaces the English documents hold."""
+    forms = counts.word_counts(_t(spark, d, "documents").where("lang = 'en'")).select(F.col("word").alias("form"), "cnt")
+    surfaces = [_t(spark, d, t).select(F.lit(t).alias("module"), F.explode(X.components(F.col("text"))).alias("surface")).distinct() for t in ("conversations", "benchmark")]
+    return counts.seen_summary(counts.seen_counts(surfaces[0].unionByName(surfaces[1]), forms))
+
+
+def form_weights(spark, d):
+    """A3, A4 over the documents' surfaces as a tagged table."""
+    found = _t(spark, d, "documents").select("lang", "source", F.explode(X.components(F.col("text"))).alias("form"))
+    none = F.lit("")
+    tagged = found.groupBy("lang", "source", "form").agg(F.count("*").alias("frequency")).select("form", F.lower("form").alias("lemma"), F.col("lang").alias("tag"), F.col("source").alias("classification"), none.alias("sgjp_status"), none.alias("correctness"), none.alias("morphology"), "frequency")
+    return casing.case_weights(casing.evidence_long(tagged))
+
+
 def prefix_top3(spark, d):
     entries = _t(spark, d, "documents").where("lang = 'en'").select(F.explode(X.words(F.col("text"))).alias("word")).distinct()
     prefixes = _t(spark, d, "benchmark").select(F.explode(X.words(F.col("text"))).alias("w")).select(F.substring("w", 1, 4).alias("prefix")).distinct()
@@ -370,6 +418,7 @@ QUERIES = {
     for f in (
         word_counts, word_zipf_rank, foreign_dominant, typo_targets, select_words, select_reasons, capacity_displaced, alias_suppressed, evidence_coverage, accent_index, accent_probe, coverage_status, kind_collision,
         case_evidence, case_verdict, module_cost, freq_percentiles, yearly_rank, history_features, history_core, history_thresholds, unpivot_roundtrip, retention_by_level, snapshot_diff, registry_resolve, list_quality,
+        bigram_weights, candidate_ranks, candidate_gate, vocabulary, top_zipf, audit_status, module_seen, form_weights,
         source_profile, bigram_topk, prefix_top3, apply_corrections, correction_gate, case_preference, windowed_uses, component_surfaces, related_forms, gate_report,
     )
 }
@@ -380,7 +429,26 @@ _EN = r"en AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}+'))
 _FIX = "fix(wrong, canonical) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in CORRECTIONS) + ")"
 _USES = "u AS (SELECT ts, user_id, lower(event_type) AS key, length(event_type) % 2 = 1 OR value > 20 AS up FROM events)"
 
+def _spoken(table: str) -> str:
+    return rf"SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM {table}"
+
+
+def _surfaces(table: str) -> str:
+    return rf"unnest(regexp_extract_all(regexp_replace(text, '(?i)[''’＇]s\b', '', 'g'), '\p{{L}}+')) AS surface FROM {table}"
+
+
 ORACLE_SQL: dict[str, str] = {
+    "bigram_weights": r"WITH w AS (SELECT lang, regexp_extract_all(lower(text), '\p{L}+') AS w FROM documents), p AS (SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: {'previous': w[i], 'current': w[i + 1]}), recursive := true) FROM w), c AS (SELECT lang, previous, current, count(*) AS cnt FROM p GROUP BY ALL) SELECT *, floor(1000 * cnt / max(cnt) OVER (PARTITION BY lang))::int AS weight FROM c",
+    "candidate_ranks": f"WITH {_TOKENS}, u AS (SELECT word, 0 AS layer, cnt FROM c WHERE lang = 'en' UNION ALL SELECT word, 1, 0 FROM ({_spoken('conversations')}) UNION ALL SELECT word, 2, 0 FROM ({_spoken('benchmark')})), m AS (SELECT word, min(layer)::int AS layer, max(cnt) AS cnt FROM u GROUP BY word) SELECT row_number() OVER (ORDER BY layer, cnt DESC, word) - 1 AS rank, word, layer FROM m",
+    "candidate_gate": f"WITH {_TOKENS}, w AS (SELECT DISTINCT word FROM c), g AS (SELECT length(word) BETWEEN 1 AND 25 AND regexp_full_match(word, '{_LETTERS[1:-1]}') AS ok FROM w) SELECT count(*) FILTER (ok) AS accepted, count(*) FILTER (NOT ok) AS rejected FROM g",
+    "vocabulary": f"WITH {_TOKENS} SELECT lang, word, count(*) AS cnt, count(DISTINCT doc_id) >= 2 AS spread FROM t GROUP BY ALL",
+    "top_zipf": f"WITH {_TOKENS} SELECT word, zipf FROM z WHERE lang = '{CFG.language}' ORDER BY zipf DESC, word LIMIT 100",
+    "audit_status": f"""WITH {_TOKENS}, b AS ({_spoken('benchmark')}), k AS ({_spoken('conversations')}),
+w AS (SELECT word, max(zipf) FILTER (lang = 'fr') AS own, coalesce(max(zipf) FILTER (lang IN ('en', 'de', 'es')), 0) AS rival FROM z GROUP BY word)
+SELECT word, CASE WHEN word IN (SELECT word FROM b) THEN 'BLOCKED_REGRESSION' WHEN word IN ('de', 'la', 'le') THEN 'SOURCE_EXCLUDED' WHEN word NOT IN (SELECT word FROM k) THEN 'NOT_IN_PREVIEW'
+  WHEN rival >= {_FLOOR} AND rival > own + {_LEAD}::double THEN 'IN_PREVIEW_FOREIGN_SIGNAL' WHEN own >= {CFG.common_zipf} THEN 'IN_PREVIEW_COMMON_WORD_SIGNAL' ELSE 'IN_PREVIEW_CLEAN_SIGNAL' END AS audit_status FROM w WHERE own > 0""",
+    "module_seen": f"WITH {_TOKENS}, e AS (SELECT word FROM c WHERE lang = 'en'), m AS (SELECT DISTINCT 'conversations' AS module, {_surfaces('conversations')} UNION ALL SELECT DISTINCT 'benchmark', {_surfaces('benchmark')}) SELECT module, count(*) FILTER (lower(surface) IN (SELECT word FROM e)) AS n_seen, count(*) FILTER (lower(surface) NOT IN (SELECT word FROM e)) AS n_unseen FROM m GROUP BY module",
+    "form_weights": rf"WITH f AS (SELECT {_surfaces('documents')}) SELECT lower(surface) AS key, count(*) FILTER (regexp_matches(surface, '^\p{{Lu}}')) AS upper, count(*) FILTER (regexp_matches(surface, '^\p{{Ll}}')) AS lower FROM f GROUP BY 1",
     "word_counts": f"WITH {_TOKENS} SELECT * FROM c",
     "word_zipf_rank": f"WITH {_TOKENS}, {_RANKED} SELECT * FROM r",
     "foreign_dominant": f"WITH {_TOKENS}, {_FOREIGN} SELECT * FROM f",
