@@ -272,7 +272,8 @@ def _counted(groups: DataFrame) -> DataFrame:
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """docs(row, text) -> row, start, len: runs of starts of repeated strings in each text."""
     table = staged(context_table(docs), "contexts")
-    often = table.groupBy("key").count().where("count > 1").select("key")
+    # A table of its own: beside an aggregate, the join couldn't split the rows of a very common passage.
+    often = staged(table.groupBy("key").count().where("count > 1").select("key"), "often")
     table = staged(table.join(often, "key", "left_semi"), "repeated-keys")
     place = F.min(F.struct("row", "first")).alias("p")
     equal = table.groupBy("key", "whole").agg(F.count("*").alias("times"), place, F.first("n").alias("n"), F.first("d").alias("d"))
