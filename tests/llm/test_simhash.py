@@ -5,7 +5,7 @@ import xxhash
 
 from tests.llm._rows import awkward, documents, prose
 from wordloom.llm.graph import connected_components
-from wordloom.llm.simhash import hex16, links, near_duplicates
+from wordloom.llm.simhash import ACCEPT, hex16, keep_one, links, near_duplicates, shingles, similar_links, wide_fingerprint
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -99,3 +99,38 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1000), (900, 901)], "a long, b long")
     got = {r["node"]: r["component"] for r in connected_components(edges).collect()}
     assert all(got[i] == 0 for i in range(301)) and got[901] == 900
+
+
+def test_similar_links_find_close_fingerprints_only(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [[rng.getrandbits(64) for _ in range(4)] for _ in range(40)]
+    near = []
+    for words in base[:20]:
+        flipped = list(words)
+        for bit in rng.sample(range(256), 20):
+            flipped[bit // 64] ^= 1 << bit % 64
+        near.append(flipped)
+    rows = [(k, *(int(np.uint64(w).astype(np.int64)) for w in words)) for k, words in enumerate(base + near)]
+    nodes = spark.createDataFrame(rows, "id long, w0 long, w1 long, w2 long, w3 long").repartition(3)
+    for hot in (30_000, 5):
+        monkeypatch.setattr("wordloom.llm.simhash.HOT", hot)
+        pairs = {tuple(sorted((r["a"], r["b"]))) for r in similar_links(nodes).collect()}
+        assert pairs == {(k, 40 + k) for k in range(20)}
+
+
+def test_keep_one_takes_similar_texts_and_leaves_others(spark):
+    rng = random.Random(12)
+    texts, near = {k: prose(rng, 200) for k in range(60)}, {}
+    for k in range(30):
+        words = texts[k].split()
+        for at in rng.sample(range(len(words)), 4):  # about 0.82 over five-word shingles
+            words[at] = "changed"
+        near[100 + k] = " ".join(words)
+    half = {200 + k: " ".join(texts[40 + k].split()[:100]) + " " + prose(rng, 100) for k in range(10)}
+    rows = [*texts.items(), *near.items(), *half.items(), (300, texts[7]), (301, near[107]), (302, None), (303, ""), (304, "one")]
+    left = {r["doc_id"] for r in keep_one(documents(spark, rows)).collect()}
+    assert set(texts) | set(half) | {302, 304} <= left and not left & {300, 301, 303}
+    similar = [k for k in near if len(set(shingles(near[k], 5)) & set(shingles(texts[k - 100], 5))) >= 0.8 * len(set(shingles(near[k], 5)) | set(shingles(texts[k - 100], 5)))]
+    assert len(similar) > 15 and sum(k in left for k in similar) <= 0.2 * len(similar)
+    apart = [int(np.bitwise_count(wide_fingerprint(texts[k]) ^ wide_fingerprint(texts[k + 1])).sum()) for k in range(50)]
+    assert min(apart) > 2 * ACCEPT and keep_one(documents(spark, [])).count() == 0
