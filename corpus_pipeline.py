@@ -1,6 +1,6 @@
 """Corpus cleaning in stages: quality, near-duplicates, repeated passages, benchmark leaks, packing.
 
-Each stage takes all rows its predecessor kept. ``run`` stages every result as a Parquet table in the
+Each stage takes all rows its predecessor kept and decides row by row: ids may repeat or be null. ``run`` stages every result as a Parquet table in the
 shared folder and rereads it, so an executor's loss costs no earlier stage.
 """
 
@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import decontamination, packing, quality, simhash, suffix_dedup
-from wordloom.llm._shared import staged
+from wordloom.llm._shared import ROW, keyed, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.join(judged.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    rows = keyed(docs)
+    judged = quality.judge(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), row=ROW)
+    return rows.join(judged.where("not kept").select(ROW), ROW, "left_anti").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,8 +10,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own_dir: str | None = None
+#: The column of ``keyed``.
+ROW = "__row"
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -39,6 +42,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """``df`` staged with a number of its own for each row, as ids may repeat or be null."""
+    return staged(df.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+
+
 def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm._shared import text_batches, utf8
+from wordloom.llm._shared import ROW, keyed, text_batches, utf8
 
 WINDOW, LITERALS, THRESHOLD, FILTER_LIMIT = 5, 3, 0.8, 1 << 21
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "“”‘’«»„…–—¿¡"
@@ -156,7 +156,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     return matches(docs, benchmark, **options).groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("coverage").alias("coverage"), F.max("n_slots").alias("n_slots"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The documents that hold no item."""
-    found = matches(docs, benchmark, key=key, **options).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(found, key, "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows that hold no item; each is decided by itself, whatever its id."""
+    rows = keyed(docs)
+    found = matches(rows, benchmark, key=ROW, **options).select(F.col("doc_id").alias(ROW)).distinct()
+    return rows.join(found, ROW, "left_anti").select(*docs.columns)

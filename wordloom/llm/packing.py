@@ -112,7 +112,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
         for batch in batches:
             for lo, hi in text_batches(batch, "ids", 8 << 20):
                 rows = batch.slice(lo, hi - lo)
-                doc, begin, n = (rows.column(i).to_numpy() for i in range(3))
+                begin, n = (rows.column(i).to_numpy() for i in (1, 2))
                 first, last = begin // window, (begin + n - 1) // window
                 count = last - first + 1
                 row = np.repeat(np.arange(len(n)), count)
@@ -123,8 +123,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
                 wide = [np.frombuffer(x, dtype="<u2").astype("<u4") for x in rows.column(3).to_pylist()]
                 pieces = [wide[r][s : s + m] for r, s, m in zip(row.tolist(), start.tolist(), length.tolist())]
                 crc = np.fromiter((zlib.crc32(p) for p in pieces), dtype=np.int64, count=len(pieces))
-                out = [doc[row], start, length, crc, n[row], sequence, left - sequence * window, start == 0, start + length == n[row]]
-                arrays = [pa.array(x) for x in out] + ([pa.array([p.tolist() for p in pieces], type=pa.list_(pa.int32()))] if with_ids else [])
+                out = [rows.column(0).take(pa.array(row)), start, length, crc, n[row], sequence, left - sequence * window, start == 0, start + length == n[row]]
+                arrays = [x if isinstance(x, pa.Array) else pa.array(x) for x in out] + ([pa.array([p.tolist() for p in pieces], type=pa.list_(pa.int32()))] if with_ids else [])
                 yield pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in schema.split(", ")])
 
     return placed.mapInArrow(cut, schema)

@@ -83,18 +83,19 @@ def text_counts(text: str | None) -> tuple[int, ...]:
     return len(words), len(text or "") - without(_SPACE), without(_SYMBOLS), dup, repeated_words(words), without(_UPPER), without(_DIGITS), lines, without(_MARKS)
 
 
-def features(docs: DataFrame, stratum: str = "lang", text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, stratum and the counts of each document."""
+def features(docs: DataFrame, stratum: str = "lang", text: str = "text", key: str = "doc_id", row: str | None = None) -> DataFrame:
+    """doc_id, stratum and the counts of each document; ``row``: a column of long that is carried along."""
+    ids = ["doc_id", *([row] if row else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in text_batches(batch, "text", 16 << 20):
                 rows = batch.slice(lo, hi - lo)
-                counts = np.array([text_counts(t) for t in rows.column(2).to_pylist()], dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *(pa.array(c) for c in counts.T)], names=["doc_id", "stratum", *COUNTS])
+                counts = np.array([text_counts(t) for t in rows.column("text").to_pylist()], dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in (*ids, "stratum")), *(pa.array(c) for c in counts.T)], names=[*ids, "stratum", *COUNTS])
 
-    plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.col(text).cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
+    plain = docs.select(F.col(key).cast("long").alias("doc_id"), *ids[1:], F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.col(text).cast("string").alias("text"))
+    return plain.mapInArrow(run, ", ".join(f"{c} long" for c in ids) + ", stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def base_failed() -> F.Column:
@@ -164,9 +165,9 @@ def select_cutoffs(feats: DataFrame, labels: DataFrame, alpha: float = ALPHA, de
     return passed
 
 
-def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, stratum: str = "lang", text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, the counts, base_failed, kept and failed_rule (the first rule that rejects, base included)."""
-    feats = staged(features(docs, stratum, text, key), "quality-counts")
+def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, stratum: str = "lang", text: str = "text", key: str = "doc_id", row: str | None = None) -> DataFrame:
+    """doc_id, ``row`` if named, the counts, base_failed, kept and failed_rule (the first rule that rejects, base included)."""
+    feats = staged(features(docs, stratum, text, key, row), "quality-counts")
     cutoffs = select_cutoffs(feats, labels, alpha, delta)
     failed = F.lit(None).cast("string")
     for s, rules in cutoffs.items():
@@ -174,4 +175,4 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float
         failed = F.when(F.col("stratum") == s, case).otherwise(failed)
     failed = F.when(base_failed(), F.lit("base")).otherwise(failed)
     out = feats.withColumn("base_failed", base_failed()).withColumn("failed_rule", failed)
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("failed_rule").isNull().alias("kept"), "failed_rule")
+    return out.select("doc_id", *([row] if row else []), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("failed_rule").isNull().alias("kept"), "failed_rule")
