@@ -4,8 +4,11 @@ Tokens are words without outer punctuation. Numbers, units behind a number, and
 typed placeholders; other words count in lower case. Windows of five template tokens, of which three or more are literal, are
 joined by hash. Hits of one document and item that lie on one diagonal (the same shift) are held to
 slot consistency: a slot value of the item must always meet the same value in the document and the
-other way round, so a re-parameterised question counts and a chance mix of values doesn't. An item is in a document if
-consistent diagonals cover ``threshold`` of its windows (five words and 0.8).
+other way round, so a re-parameterised question counts and a chance mix of values doesn't.
+
+What is a slot depends on case and some passages are slots alone, so plain windows go through the same join: five
+lower-cased tokens each, whatever they are. An item is in a document if consistent diagonals cover ``threshold`` of its
+windows of either kind (five words and 0.8).
 
 The benchmark's hashes are broadcast as a filter only while there are at most ``FILTER_LIMIT`` of them (8 bytes each);
 beyond that all windows go through the join. Either way the join and the counts are Spark's.
@@ -81,27 +84,37 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def windows(texts: list[str | None], width: int):
-    """Text number, position, hash and kinds/values of each window with enough literals."""
+def windows(texts: list[str | None], width: int, known: np.ndarray | None = None):
+    """Text number, position, hash, whether it's plain, and kinds/values of each template window with enough literals and each plain window."""
     text, kind, hashed, value = template(texts)
     n = len(text) - width + 1
     if n <= 0:
-        return text[:0], text[:0], hashed[:0], np.zeros((0, width), dtype=np.int64), np.zeros((0, width), dtype=np.uint64)
-    h = np.zeros(n, dtype=np.uint64)
-    for k in range(width):
-        h = h * np.uint64(0x100000001B3) + _mix(hashed[k : n + k])
+        return text[:0], text[:0], hashed[:0], np.zeros(0, dtype=bool), np.zeros((0, width), dtype=np.int64), np.zeros((0, width), dtype=np.uint64)
+    whole = text[:n] == text[width - 1 :]
     literal = np.cumsum(np.append(0, kind == _LITERAL))
-    ok = (text[:n] == text[width - 1 :]) & (literal[width : n + width] - literal[:n] >= min(LITERALS, width))
-    at = np.flatnonzero(ok)
+    found = []
+    for tokens, ok, salt in ((hashed, whole & (literal[width : n + width] - literal[:n] >= min(LITERALS, width)), 0), (value, whole, 1 << 20)):
+        h = np.zeros(n, dtype=np.uint64)
+        for k in range(width):
+            h = h * np.uint64(0x100000001B3) + _mix(tokens[k : n + k])
+        at = np.flatnonzero(ok)
+        h = _mix(h[at]) + np.uint64(width + salt)
+        if known is not None:
+            k = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            hit = known[k] == h if len(known) else np.zeros(len(h), dtype=bool)
+            at, h = at[hit], h[hit]
+        found.append((at, h))
+    at, h = (np.concatenate(c) for c in zip(*found))
+    plain = np.arange(len(at)) >= len(found[0][0])
     start = np.searchsorted(text, np.arange(text[-1] + 1))
     span = at[:, None] + np.arange(width)
-    return text[at], at - start[text[at]], _mix(h[at]) + np.uint64(width), kind[span], value[span]
+    return text[at], at - start[text[at]], h, plain, np.where(plain[:, None], _LITERAL, kind[span]), value[span]
 
 
 def window_table(texts: DataFrame, width: int, known: np.ndarray | None = None, short: bool = False) -> DataFrame:
-    """id, pos, h, kinds, vals; only hashes in ``known`` if given. ``short``: texts below the width give one window of their length."""
+    """id, pos, h, plain, kinds, vals; only hashes in ``known`` if given. ``short``: texts below the width give one window of their length."""
     shared = texts.sparkSession.sparkContext.broadcast(known)
-    names = ["id", "pos", "h", "kinds", "vals"]
+    names = ["id", "pos", "h", "plain", "kinds", "vals"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -114,24 +127,20 @@ def window_table(texts: DataFrame, width: int, known: np.ndarray | None = None,
                     if short and w < width:
                         n = np.bincount(template(page)[0], minlength=len(page))
                         some = [t if c == w else None for t, c in zip(page, n)]
-                    text, pos, h, kinds, values = windows(some, w)
-                    if known is not None and len(h):
-                        k = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                        hit = known[k] == h if len(known) else np.zeros(len(h), dtype=bool)
-                        text, pos, h, kinds, values = text[hit], pos[hit], h[hit], kinds[hit], values[hit]
+                    text, pos, h, plain, kinds, values = windows(some, w, known)
                     if len(h):
                         offsets = pa.array(np.arange(len(h) + 1, dtype=np.int32) * w)
                         slots = np.where(kinds == _LITERAL, 0, values.view(np.int64))
-                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(text)), pa.array(pos), pa.array(h.view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(kinds.ravel().astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(slots.ravel()))], names=names)
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(text)), pa.array(pos), pa.array(h.view(np.int64)), pa.array(plain), pa.ListArray.from_arrays(offsets, pa.array(kinds.ravel().astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(slots.ravel()))], names=names)
 
-    return texts.mapInArrow(run, "id long, pos long, h long, kinds array<int>, vals array<long>")
+    return texts.mapInArrow(run, "id long, pos long, h long, plain boolean, kinds array<int>, vals array<long>")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, threshold: float = THRESHOLD, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id") -> DataFrame:
     """doc_id, item_id, coverage, n_slots: items that a document holds, with the number of its slots that matched."""
     items = benchmark.select(F.col(item_key).cast("long").alias("id"), F.col(item_text).cast("string").alias("text")).where("id is not null")
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("text is not null and id is not null")
-    wanted = window_table(items, width, short=True).select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "h", "vals").withColumnRenamed("vals", "item_vals").distinct().persist()
+    wanted = window_table(items, width, short=True).select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "h", "plain", "vals").withColumnRenamed("vals", "item_vals").distinct().persist()
     distinct = wanted.select("h").distinct()
     known = None
     if distinct.count() <= FILTER_LIMIT:
@@ -144,11 +153,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, threshol
     hits = seen.select(F.col("id").alias("doc_id"), "pos", "h", "vals").join(wanted, "h")
     hits = hits.where(F.size("vals") == F.size("item_vals")).withColumn("shift", F.col("pos") - F.col("item_pos"))
     pairs = F.filter(F.arrays_zip("item_vals", "vals"), lambda x: x["item_vals"] != 0)
-    line = hits.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"))
+    line = hits.groupBy("doc_id", "item_id", "shift").agg(F.collect_set(F.struct("plain", "item_pos")).alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"))
     one_to_one = (F.size(F.array_distinct(F.col("slots.item_vals"))) == F.size("slots")) & (F.size(F.array_distinct(F.col("slots.vals"))) == F.size("slots"))
-    best = line.where(one_to_one).groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("covered"), F.max(F.size("slots")).alias("n_slots"))
-    size = wanted.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows"))
-    return best.join(size, "item_id").where(F.col("covered") >= threshold * F.col("n_windows")).select("doc_id", "item_id", (F.col("covered") / F.col("n_windows")).alias("coverage"), "n_slots")
+    best = line.where(one_to_one).groupBy("doc_id", "item_id").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"), F.max(F.size("slots")).alias("n_slots"))
+    size = wanted.groupBy("item_id").agg(*(F.count_distinct(F.when(c, F.col("item_pos"))).alias(n) for c, n in ((F.col("plain"), "n_plain"), (~F.col("plain"), "n_template"))))
+    share = F.greatest(F.expr("try_divide(size(filter(at, x -> x.plain)), n_plain)"), F.expr("try_divide(size(filter(at, x -> not x.plain)), n_template)"))
+    return best.join(size, "item_id").withColumn("coverage", share).where(F.col("coverage") >= threshold).select("doc_id", "item_id", "coverage", "n_slots")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
