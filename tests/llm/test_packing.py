@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from tests.llm._rows import awkward, documents
-from wordloom.llm.packing import pack
+from wordloom.llm.packing import Encoder, pack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -43,3 +44,24 @@ def test_small_window_ties_and_repeated_rows(spark):
 
 def test_empty_table(spark):
     assert pack(documents(spark, []), PATH).count() == 0
+
+
+def test_ids_equal_the_tokenizers_on_odd_texts():
+    tok, encoder = Tokenizer.from_file(PATH), Encoder(PATH)
+    tok.encode_special_tokens = True
+    assert encoder.fast is not None
+    rng = random.Random(3)
+    letters = [" ", "  ", "\n", "\t", "\r", "a", "B", "'s", "'", "1", "\u00e9", "e\u0301", ".", "!", "_", "\u00a0", "\u200b", "\u0085", "\u001c", "\u4e2d", "\U0001f600", "<|endoftext|>", "zq" * 30]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(15))) for _ in range(20_000)]
+    texts += [f"a{chr(c)}b {chr(c)} 1{chr(c)}" for c in range(0x3400) if c % 3 == 0]
+    texts += [" " * 5000, "x" * 5000, " \n" * 3000, ""]
+    want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in encoder.encode(texts)] == want
+
+
+def test_other_tokenizers_take_their_own_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, tok = Encoder(path), Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    assert encoder.fast is None
+    assert encoder.encode(["Plain words, 12."])[0].tolist() == tok.encode("Plain words, 12.", add_special_tokens=False).ids
