@@ -4,9 +4,9 @@ Text is A-Z lower-cased; tokens are its words and one end. The tree sees the wor
 blank between them and a line feed as the end, as bytes.
 
 Training counts all windows of ``depth`` + 1 bytes in the training documents. From them come the counts of
-each shorter context. A context stands for a state if its relative frequency is ``p_min`` or more (so each length has at
-most 1 / p_min states, whatever the corpus) and its next-byte distribution diverges from that of the
-context without its first byte by ``test`` nats over all its occurrences. A state's distribution is smoothed
+each shorter context. A context stands for a state if it occurs often enough and its next-byte distribution diverges from that of the
+context without its first byte by ``test`` nats over all its occurrences. "Often enough" grows with the 2/3 power of the ``n`` windows counted,
+so the states each length may have grow with its cube root (n ** (1 / 3) / GROWTH at most): a larger corpus keeps more and rarer contexts. A state's distribution is smoothed
 towards its parent's. With all prefixes of states added, reading a byte is one step of an automaton whose state is the longest
 suffix; texts are read in pieces side by side, each warmed up with the ``depth`` bytes before it.
 
@@ -30,9 +30,13 @@ from pyspark.sql import functions as F
 
 from wordloom.llm._shared import staged, text_batches, utf8
 
-DEPTH, P_MIN, TEST, SMOOTH = 5, 1e-5, 4.0, 1.0
+DEPTH, TEST, SMOOTH = 5, 4.0, 1.0
+#: A context needs GROWTH * (all windows) ** (2 / 3) occurrences, two at least.
+GROWTH = 0.003
 HEAD = 2e-6
 PIECE = 512
+#: Bytes of text read at once, and window counts a task holds before it hands them on.
+SCAN, HELD = 2 << 20, 1 << 19
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -56,18 +60,30 @@ def _scored(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.cumsum(mark[:-1], dtype=np.int8).astype(bool)
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    g, of = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+    c = np.bincount(of, weights=np.concatenate([c for _, c in parts]), minlength=len(g)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(g), pa.array(c)], names=["g", "c"])
+
+
 def window_counts(docs: DataFrame, depth: int) -> DataFrame:
-    """g (the window's bytes, the first one highest), c."""
+    """g (the window's bytes, the first one highest), c. A task holds the windows of 2 MB of text and HELD counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for lo, hi in text_batches(batch, "text", 24 << 20):
+            for lo, hi in text_batches(batch, "text", SCAN):
                 raw, start, size = _buffer([b" ".join(token_list(t)) for t in batch.slice(lo, hi - lo).column(0).to_pylist()], depth)
                 g = np.zeros(len(raw) - depth, dtype=np.int64)
                 for k in range(depth + 1):
-                    g = (g << 8) | raw[k : len(raw) - depth + k]
-                g, c = np.unique(g[_scored(raw, start, size)[depth:]], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(c.astype(np.int64))], names=["g", "c"])
+                    g <<= 8
+                    g |= raw[k : len(raw) - depth + k]
+                parts.append(np.unique(g[_scored(raw, start, size)[depth:]], return_counts=True))
+                if sum(len(g) for g, _ in parts) > HELD:
+                    yield _summed(parts)
+                    parts = []
+        if parts:
+            yield _summed(parts)
 
     return docs.select("text").mapInArrow(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
 
@@ -136,14 +152,19 @@ class Tree:
         return np.add.reduceat(line, start) if len(start) else np.zeros(0)
 
 
-def grow(windows: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, test: float = TEST) -> Tree:
-    """The tree from window counts. At most (depth + 1) / p_min contexts reach the driver."""
+def least_count(total: int) -> float:
+    return max(2.0, GROWTH * total ** (2 / 3))
+
+
+def grow(windows: DataFrame, depth: int = DEPTH, least: float | None = None, test: float = TEST) -> Tree:
+    """The tree from window counts. At most depth + 1 times ``all windows / least`` contexts reach the driver."""
     total = windows.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    least = least_count(total) if least is None else least
     of = F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("d")
     mask = F.expr("shiftleft(1L, cast(8 * d as int)) - 1L")
     long = windows.select(F.shiftright("g", 8).alias("full"), (F.col("g").bitwiseAND(255)).cast("int").alias("next"), "c", of)
     long = long.select("d", F.col("full").bitwiseAND(mask).alias("ctx"), "next", "c").groupBy("d", "ctx", "next").agg(F.sum("c").alias("c"))
-    frequent = long.groupBy("d", "ctx").agg(F.sum("c").alias("n"), F.collect_list(F.struct("next", "c")).alias("nexts")).where(F.col("n") >= max(1.0, p_min * total))
+    frequent = long.groupBy("d", "ctx").agg(F.sum("c").alias("n"), F.collect_list(F.struct("next", "c")).alias("nexts")).where(F.col("n") >= least)
     frequent = staged(frequent, "contexts")
     flat = frequent.select("d", "ctx", "n", F.explode("nexts").alias("x")).select("d", "ctx", "n", "x.next", "x.c")
     parent = flat.select((F.col("d") + 1).alias("d"), F.col("ctx").alias("up"), "next", (F.col("c") / F.col("n")).alias("q"))
@@ -159,7 +180,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in text_batches(batch, "text", 24 << 20):
+            for lo, hi in text_batches(batch, "text", SCAN):
                 found: Counter[bytes] = Counter()
                 texts = batch.slice(lo, hi - lo).column(0).to_pylist()
                 for t in texts:
@@ -170,7 +191,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "w binary, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
-def score(docs: DataFrame, held_out: F.Column | None = None, depth: int = DEPTH, p_min: float = P_MIN, text: str = "text", key: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, held_out: F.Column | None = None, depth: int = DEPTH, least: float | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``held_out``: a condition over doc_id; its rows are scored and not learned from.
@@ -185,14 +206,14 @@ def score(docs: DataFrame, held_out: F.Column | None = None, depth: int = DEPTH,
     n, v = totals["n"], totals["v"]
     frequent = counts.where(F.col("c") >= max(2.0, HEAD * n))
     head = frequent.toArrow()
-    shared = docs.sparkSession.sparkContext.broadcast((dict(zip(head.column(0).to_pylist(), head.column(1).to_pylist())), grow(staged(window_counts(train, depth), "windows"), depth, p_min)))
+    shared = docs.sparkSession.sparkContext.broadcast((dict(zip(head.column(0).to_pylist(), head.column(1).to_pylist())), grow(staged(window_counts(train, depth), "windows"), depth, least)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, tree = shared.value
         row = TaskContext.get().partitionId() << 40
         names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "w", "tf"]
         for batch in batches:
-            for lo, hi in text_batches(batch, "text", 8 << 20):
+            for lo, hi in text_batches(batch, "text", SCAN):
                 rows = batch.slice(lo, hi - lo)
                 tokens = [token_list(t) for t in rows.column(1).to_pylist()]
                 size = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
