@@ -104,7 +104,7 @@ class Tree:
         self.symbol[seen] = np.arange(len(seen))
         width, rare = len(seen) + 1, max(1, 256 - len(seen))
         at = {s: i for i, s in enumerate(order)}
-        rows = np.zeros((len(order), width))
+        rows = np.zeros((len(order), width), dtype=np.float32)
         for i, (d, c) in enumerate(order):
             parent = np.full(width, 1 / 256) if d == 0 else rows[at[d - 1, c & (1 << 8 * (d - 1)) - 1]]
             if d == 0:
@@ -116,7 +116,7 @@ class Tree:
                 own[self.symbol[nexts]] = counts
                 rows[i] = (own + smooth * parent) / (own.sum() + smooth)
         rows[:, -1] /= rare
-        self.log = np.log10(rows).astype(np.float32)
+        self.log = np.log10(rows, out=rows)
         codes = np.array([d << 48 | c for d, c in order], dtype=np.int64)
         d, c = codes >> 48, codes & (1 << 48) - 1
         self.next = np.zeros((len(order), width), dtype=np.int32)
@@ -171,7 +171,9 @@ def grow(windows: DataFrame, depth: int = DEPTH, least: float | None = None, tes
     up = F.col("ctx").bitwiseAND(F.expr("shiftleft(1L, cast(8 * (d - 1) as int)) - 1L"))
     gain = flat.where("d > 0").withColumn("up", up).join(parent, ["d", "up", "next"]).groupBy("d", "ctx").agg(F.sum(F.col("c") * F.log(F.col("c") / F.col("n") / F.col("q"))).alias("nats"))
     kept = frequent.join(gain.where(F.col("nats") >= test), ["d", "ctx"], "left_semi").unionByName(frequent.where("d = 0"))
-    nodes = {(r["d"], r["ctx"]): ([x["next"] for x in r["nexts"]], [x["c"] for x in r["nexts"]]) for r in kept.collect()}
+    flat = kept.select("d", "ctx", F.col("nexts.next").alias("next"), F.col("nexts.c").alias("c")).toArrow()
+    d, ctx, nexts, counts = (x.to_pylist() for x in flat.columns)
+    nodes = dict(zip(zip(d, ctx), zip(nexts, counts)))
     return Tree(depth, nodes, SMOOTH)
 
 
