@@ -42,6 +42,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discarded(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete staged tables whose successors are staged: nothing may read them any more, not even after a lost executor.
+
+    Their writers' shuffle files go with them, once the driver's JVM collects the handles.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+    jvm.java.lang.System.gc()
+
+
 def keyed(df: DataFrame) -> DataFrame:
     """``df`` staged with a number of its own for each row, as ids may repeat or be null."""
     return staged(df.withColumn(ROW, F.monotonically_increasing_id()), "keyed")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm._shared import staged, text_batches, utf8
+from wordloom.llm._shared import discarded, staged, text_batches, utf8
 from wordloom.llm.grouping_sort import suffix_order
 
 LENGTH, FRONT, GRAM = 200, 168, 24
@@ -271,10 +271,12 @@ def _counted(groups: DataFrame) -> DataFrame:
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """docs(row, text) -> row, start, len: runs of starts of repeated strings in each text."""
-    table = staged(context_table(docs), "contexts")
+    spark = docs.sparkSession
+    every = staged(context_table(docs), "contexts")
     # A table of its own: beside an aggregate, the join couldn't split the rows of a very common passage.
-    often = staged(table.groupBy("key").count().where("count > 1").select("key"), "often")
-    table = staged(table.join(often, "key", "left_semi"), "repeated-keys")
+    often = staged(every.groupBy("key").count().where("count > 1").select("key"), "often")
+    table = staged(every.join(often, "key", "left_semi"), "repeated-keys")
+    discarded(spark, every, often)
     place = F.min(F.struct("row", "first")).alias("p")
     equal = table.groupBy("key", "whole").agg(F.count("*").alias("times"), place, F.first("n").alias("n"), F.first("d").alias("d"))
     equal = staged(equal.select("key", "whole", "times", "p.row", "p.first", "n", "d"), "equal-contexts")
