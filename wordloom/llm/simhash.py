@@ -12,11 +12,12 @@
    links, never all pairs; keys with more than ``HOT`` rows are split into pairs of blocks.
 6. Components of the links, then the smallest doc_id of each.
 
-``keep_one`` also takes a similarity of about 0.8 over five-word shingles: too far for one word of 64 bits, so a text gets
-``WORDS`` independent ones from the same hashes. Each word is searched as above within ``WORD_RADIUS`` bits; rows that meet
-are verified by their distance over all words, at most ``ACCEPT`` of 256. That many bits are expected at a Jaccard similarity
-of 0.76 and 0.8 lies one standard deviation below. Texts that never meet under a part are missed: the expected recall is 0.92 at
-a similarity of 0.8 and 0.99 at 0.9 (up to ``2^24`` texts; parts then grow wider and ``words`` should grow with them).
+``keep_one`` also takes a Jaccard similarity of 0.8 or more over distinct five-word shingles: too far for one word of 64 bits, so a text gets
+``WORDS`` independent ones from the same hashes. Each word is searched as above; rows that meet and lie within ``ACCEPT`` of all
+384 bits are candidates only (58 bits are expected at 0.8, ``ACCEPT`` is 3.7 standard deviations above). A run hands on the members of its
+candidate groups, equal groups of different runs count once, and every candidate is compared by its whole set of shingle hashes: no link
+stands on fingerprint bits, and groups above ``SET_BYTES`` are split into pairs of blocks. Texts that never meet under a part are missed: the
+expected recall at a similarity of 0.8 is 0.98 (0.95 beyond 2^24 texts, where parts are wider and probed one bit further), at 0.85 above 0.99.
 
 Rows: a null, empty or blank text has fingerprint 0 and links like any other; repeated rows
 keep a row each; an empty table gives an empty result; other columns are ignored.
@@ -25,7 +26,7 @@ keep a row each; an empty table gives an empty result; other columns are ignored
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm._shared import ROW, keyed, staged, star_edges, text_batches, utf8
+from wordloom.llm._shared import ROW, discarded, keyed, local_components, staged, star_edges, text_batches, utf8
 from wordloom.llm.graph import connected_components
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
-#: For the similarity of whole texts: words of 64 bits, searched radius in each, accepted distance over all, words in a shingle.
-WORDS, WORD_RADIUS, ACCEPT, SIMILAR_SHINGLE = 4, 4, 44, 5
+#: For the similarity of whole texts: words of 64 bits, a candidate's distance over all, words in a shingle.
+WORDS, ACCEPT, SIMILAR_SHINGLE = 6, 84, 5
+#: The Jaccard similarity that links, as a fraction.
+SIMILAR = (4, 5)
+#: Shingle hashes that one task compares at once.
+SET_BYTES = 32 << 20
 #: Rows of one key that are compared in one task; more are split into pairs of blocks.
 HOT = 30_000
 #: What a probe costs, in verified candidates.
@@ -84,13 +89,14 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE, text: str = "text", key:
     return plain.mapInArrow(run, "doc_id long, fp long")
 
 
-def wide_fingerprint(text: str | None, words: int = WORDS, width: int = SIMILAR_SHINGLE) -> np.ndarray | None:
-    """``words`` fingerprints of 64 bits over the distinct shingles; None for a text without words."""
-    parts = shingles(text, width)
-    if not parts:
-        return None
+def shingle_set(text: str | None, width: int = SIMILAR_SHINGLE) -> np.ndarray:
+    """The distinct hashes of the shingles, sorted."""
     digest = xxhash.xxh64_intdigest
-    hashes = np.unique(np.array([digest(s, SEED) for s in parts], dtype=np.uint64))
+    return np.unique(np.array([digest(s, SEED) for s in shingles(text, width)], dtype=np.uint64))
+
+
+def wide_fingerprint(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """``words`` fingerprints of 64 bits over distinct hashes."""
     out = np.zeros(words, dtype=np.uint64)
     for w in range(words):
         spread = hashes + np.uint64((w + 1) * 0x9E3779B97F4A7C15 % 2**64)
@@ -103,21 +109,22 @@ def wide_fingerprint(text: str | None, words: int = WORDS, width: int = SIMILAR_
 
 
 def wide_fingerprints(docs: DataFrame, words: int = WORDS, width: int = SIMILAR_SHINGLE, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, w0, w1, ...: only texts with a word."""
-    names = ["doc_id", *(f"w{k}" for k in range(words))]
+    """doc_id, w0, w1, ..., shingles (sorted, the upper 32 bits of each hash): only texts with a word."""
+    names = ["doc_id", *(f"w{k}" for k in range(words)), "shingles"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in text_batches(batch):
                 rows = batch.slice(lo, hi - lo)
-                prints = [wide_fingerprint(t, words, width) for t in rows.column(1).to_pylist()]
-                full = [k for k, p in enumerate(prints) if p is not None]
+                sets = [shingle_set(t, width) for t in rows.column(1).to_pylist()]
+                full = [k for k, hashes in enumerate(sets) if len(hashes)]
                 if full:
-                    table = np.stack([prints[k] for k in full]).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(full)), *(pa.array(np.ascontiguousarray(c)) for c in table.T)], names=names)
+                    table = np.stack([wide_fingerprint(sets[k], words) for k in full]).view(np.int64)
+                    short = pa.array([(sets[k] >> np.uint64(32)).astype("<u4").tobytes() for k in full], pa.binary())
+                    yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(full)), *(pa.array(np.ascontiguousarray(c)) for c in table.T), short], names=names)
 
     plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return plain.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return plain.mapInArrow(run, ", ".join(f"{c} long" for c in names[:-1]) + ", shingles binary")
 
 
 def joint_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -166,9 +173,9 @@ def choose_widths(n: int) -> list[int]:
     return [22, 21, 21] if n <= 1 << 26 else [32, 32]
 
 
-def similar_widths(n: int) -> list[int]:
-    """Parts of one word when whole texts are compared by several words."""
-    return [13, 13, 13, 13, 12] if n <= 1 << 24 else choose_widths(n)
+def similar_layout(n: int) -> tuple[list[int], int]:
+    """Parts of one word and the searched radius when whole texts are compared by several words: equal parts, or 21 bits but for one."""
+    return ([13, 13, 13, 13, 12], 4) if n <= 1 << 24 else ([22, 21, 21], 5)
 
 
 def part_values(fps: np.ndarray, parts: list[list[int]]) -> list[np.ndarray]:
@@ -352,22 +359,104 @@ def links(nodes: DataFrame, radius: int = RADIUS, widths: list[int] | None = Non
     return _forest(_keyed(nodes, parts, value_counts(nodes, parts), n, radius), "fp", ["fp"], radius)
 
 
-def similar_links(nodes: DataFrame, accept: int = ACCEPT, word_radius: int = WORD_RADIUS) -> DataFrame:
-    """a, b: links between the ids of distinct wide fingerprints (id, w0, w1, ...) that meet and lie within ``accept`` bits."""
+def candidate_groups(nodes: DataFrame, accept: int = ACCEPT) -> DataFrame:
+    """grp, id: rows (id, w0, w1, ...) that meet and lie within ``accept`` bits of another share a group; equal groups are one."""
     names = sorted((c for c in nodes.columns if c != "id"), key=lambda c: int(c[1:]))
-    keyed = None
+    keyed_rows = None
     for k, name in enumerate(names):
         word = nodes.withColumn("fp", F.col(name))
         n, joint = joint_counts(word)
-        parts = group_bits(n, joint, similar_widths(n))
-        some = _keyed(word, parts, value_counts(word, parts), n, word_radius, ("id", *names)).withColumn("key", F.col("key") + F.lit(k << 43))
-        keyed = some if keyed is None else keyed.unionByName(some)
-    return _forest(keyed, "id", names, accept)
+        widths, radius = similar_layout(n)
+        parts = group_bits(n, joint, widths)
+        some = _keyed(word, parts, value_counts(word, parts), n, radius, ("id", *names)).withColumn("key", F.col("key") + F.lit(k << 43))
+        keyed_rows = some if keyed_rows is None else keyed_rows.unionByName(some)
+
+    def members(run_id: np.ndarray, ids: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # Positions stand for rows: runs are disjoint, so a component never leaves its run.
+        label = local_components(len(ids), *_verified(run_id, np.arange(len(ids)), prints, accept))
+        mixed = ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        total = np.zeros(len(ids), dtype=np.uint64)
+        np.add.at(total, label, mixed ^ (mixed >> np.uint64(32)))
+        many = np.bincount(label, minlength=len(ids))[label] > 1
+        return total[label[many]].view(np.int64), ids[many]
+
+    return _runs(keyed_rows, "id", names, members, lambda a, b: (a, b), "grp long, id long").distinct()
+
+
+def similar_within(sets: list[np.ndarray], similar: tuple[int, int] = SIMILAR) -> list[tuple[int, int]]:
+    """Positions that link: a spanning forest of all pairs whose Jaccard similarity is at least ``similar``."""
+    above, below = similar
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    rest, found, reached = np.arange(len(sets)), [], []
+    while len(rest):
+        if not reached:
+            reached, rest = [int(rest[0])], rest[1:]
+        seed = reached.pop()
+        near = rest[(above * sizes[rest] <= below * sizes[seed]) & (above * sizes[seed] <= below * sizes[rest])]
+        if not len(near):
+            continue
+        flat, own = np.concatenate([sets[k] for k in near]), sets[seed]
+        at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+        both = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(sizes[near]) - sizes[near])
+        new = near[below * both >= above * (sizes[near] + sizes[seed] - both)]
+        found += [(seed, int(k)) for k in new]
+        reached += new.tolist()
+        rest = rest[~np.isin(rest, new)]
+    return found
+
+
+def similar_links(nodes: DataFrame, sets: DataFrame, accept: int = ACCEPT) -> DataFrame:
+    """a, b: links between ids that connect all candidates of ``nodes`` (id, w0, w1, ...) whose ``sets`` (id, shingles) are similar."""
+    member = staged(candidate_groups(nodes, accept), "simhash-candidates")
+    bytes_of = sets.select("id", F.length("shingles").cast("long").alias("n"))
+    blocks = member.join(bytes_of, "id").groupBy("grp").agg(F.ceil(F.sum("n") / SET_BYTES).cast("int").alias("blocks"))
+    laid = member.join(blocks, "grp").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    laid = laid.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    laid = laid.select("id", "grp", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        now, ids, held = None, [], []
 
+        def settle() -> None:
+            pairs = similar_within(held)
+            if pairs:
+                at = np.array(ids, dtype=np.int64)[np.array(pairs)]
+                found.append((at[:, 0], at[:, 1]))
 
-def _forest(keyed: DataFrame, ident: str, prints: list[str], radius: int) -> DataFrame:
+        for batch in batches:
+            cols = [batch.column(c) for c in ("grp", "lo", "hi", "id", "shingles")]
+            for *of, ident, packed in zip(*(c.to_pylist() for c in cols[:4]), cols[4]):
+                if of != now:
+                    settle()
+                    now, ids, held = of, [], []
+                    if len(found) > 10_000:
+                        found = [star_edges(*(np.concatenate(x) for x in zip(*found)))]
+                ids.append(ident)
+                held.append(np.unique(np.frombuffer(packed.as_buffer(), dtype="<u4")))
+        settle()
+        if found:
+            a, b = star_edges(*(np.concatenate(x) for x in zip(*found)))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    full = laid.join(sets.select("id", "shingles"), "id").repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi")
+    return full.mapInArrow(run, "a long, b long")
+
+
+def _forest(keyed_rows: DataFrame, ident: str, prints: list[str], radius: int) -> DataFrame:
     """a, b: rows with one key and block meet in one sorted run and are verified."""
+
+    def edges(run_id: np.ndarray, ids: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return star_edges(*_verified(run_id, ids, table, radius))
+
+    return _runs(keyed_rows, ident, prints, edges, star_edges, "a long, b long")
+
+
+def _runs(keyed_rows: DataFrame, ident: str, prints: list[str], of_runs: Callable, merged: Callable, schema: str) -> DataFrame:
+    """What ``of_runs`` (run, id, fingerprints) makes of whole runs of one key and block, two columns; ``merged`` shortens what is held."""
     names = ["key", "block", *dict.fromkeys([ident, *prints])]
+    out = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -378,27 +467,32 @@ def _forest(keyed: DataFrame, ident: str, prints: list[str], radius: int) -> Dat
             run_id = np.cumsum(np.append(False, (key[1:] != key[:-1]) | (block[1:] != block[:-1])))
             of = dict(zip(names[2:], columns))
             table = of[prints[0]] if len(prints) == 1 else np.stack([of[c] for c in prints], axis=1)
-            e = _verified(run_id, of[ident], table, radius)
+            e = of_runs(run_id, of[ident], table)
             if len(e[0]):
-                found.append(star_edges(*e))
+                found.append(e)
+
+        def emitted():
+            a, b = merged(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=out)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             held = tuple(np.concatenate([h, batch.column(c).to_numpy()]) for c, h in zip(names, held))
-            cut = int(np.flatnonzero((held[0] != held[0][-1]) | (held[1] != held[1][-1]))[-1]) + 1 if len(held[0]) and ((held[0] != held[0][-1]) | (held[1] != held[1][-1])).any() else 0
-            if cut:
+            last = np.flatnonzero((held[0] != held[0][-1]) | (held[1] != held[1][-1]))
+            if len(last):
+                cut = int(last[-1]) + 1
                 flush(*(h[:cut] for h in held))
                 held = tuple(h[cut:] for h in held)
             if len(found) > 50:
-                found = [star_edges(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))]
+                yield emitted()
+                found = []
         if len(held[0]):
             flush(*held)
         if found:
-            a, b = star_edges(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            yield emitted()
 
-    return keyed.repartition(F.col("key"), F.col("block")).sortWithinPartitions("key", "block").mapInArrow(run, "a long, b long")
+    return keyed_rows.repartition(F.col("key"), F.col("block")).sortWithinPartitions("key", "block").mapInArrow(run, schema)
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -420,17 +514,21 @@ def groups(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, accept:
     """Near-duplicates by either measure, ``radius`` bits or similar whole texts.
 
     (doc_id, component_id) by the first measure, then (node, component) that joins those components by the second;
-    copies are one row before the second measure starts.
+    copies are one row before the second measure starts. Ids are unique.
     """
+    spark = docs.sparkSession
     close = staged(near_duplicates(docs, radius, width, text, key).select("doc_id", "component_id"), "simhash-close")
     prints = staged(wide_fingerprints(docs, text=text, key=key), "simhash-wide")
-    words = [c for c in prints.columns if c != "doc_id"]
-    first = close.groupBy("doc_id").agg(F.min("component_id").alias("a"))
-    held = staged(prints.join(first, "doc_id").select("a", *words).distinct(), "simhash-held")
-    nodes = staged(held.groupBy(*words).agg(F.min("a").alias("id")), "simhash-wide-nodes")
-    # Several wide fingerprints may have one component as their smallest: ids are those of components, and links join them.
-    same = held.join(nodes, words).select("a", F.col("id").alias("b"))
-    return close, connected_components(same.unionByName(similar_links(nodes, accept)))
+    words = [c for c in prints.columns if c not in ("doc_id", "shingles")]
+    # One document stands for all of equal wide fingerprints.
+    nodes = staged(prints.groupBy(*words).agg(F.min("doc_id").alias("id")), "simhash-wide-nodes")
+    sets = prints.select(F.col("doc_id").alias("id"), "shingles")
+    similar = staged(similar_links(nodes, sets, accept), "simhash-similar")
+    # A component's id is one of its documents, so documents and components are nodes of one graph; copies are one row in ``held``.
+    held = prints.select("doc_id", *words).join(close, "doc_id").select(F.col("component_id").alias("a"), *words).distinct()
+    joined = connected_components(held.join(nodes, words).select("a", F.col("id").alias("b")).unionByName(similar))
+    discarded(spark, prints)
+    return close, joined
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, accept: int = ACCEPT, key: str = "doc_id") -> DataFrame:
