@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordloom.llm._shared import staged, text_batches, utf8
 
@@ -83,19 +84,41 @@ def text_counts(text: str | None) -> tuple[int, ...]:
     return len(words), len(text or "") - without(_SPACE), without(_SYMBOLS), dup, repeated_words(words), without(_UPPER), without(_DIGITS), lines, without(_MARKS)
 
 
-def features(docs: DataFrame, stratum: str = "lang", text: str = "text", key: str = "doc_id", row: str | None = None) -> DataFrame:
-    """doc_id, stratum and the counts of each document; ``row``: a column of long that is carried along."""
-    ids = ["doc_id", *([row] if row else [])]
+def _plain(docs: DataFrame, stratum: str, text: str, key: str) -> list[F.Column]:
+    return [F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.col(text).cast("string").alias("text")]
+
+
+def _counts(rows: pa.RecordBatch) -> list[pa.Array]:
+    return [pa.array(c) for c in np.array([text_counts(t) for t in rows.column("text").to_pylist()], dtype=np.int64).T]
+
+
+def features(docs: DataFrame, stratum: str = "lang", text: str = "text", key: str = "doc_id") -> DataFrame:
+    """doc_id, stratum and the counts of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in text_batches(batch, "text", 16 << 20):
                 rows = batch.slice(lo, hi - lo)
-                counts = np.array([text_counts(t) for t in rows.column("text").to_pylist()], dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in (*ids, "stratum")), *(pa.array(c) for c in counts.T)], names=[*ids, "stratum", *COUNTS])
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("stratum"), *_counts(rows)], names=["doc_id", "stratum", *COUNTS])
+
+    return docs.select(*_plain(docs, stratum, text, key)).mapInArrow(run, "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
+
+
+def counted_rows(docs: DataFrame, stratum: str = "lang", text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` with a column ``__quality``: the columns of ``features``."""
+    width = len(docs.columns)
+    schema = T.StructType([*docs.schema.fields, T.StructField("__quality", T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("stratum", T.StringType()), *(T.StructField(c, T.LongType()) for c in COUNTS)]))])
 
-    plain = docs.select(F.col(key).cast("long").alias("doc_id"), *ids[1:], F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.col(text).cast("string").alias("text"))
-    return plain.mapInArrow(run, ", ".join(f"{c} long" for c in ids) + ", stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            plain = pa.RecordBatch.from_arrays(batch.columns[width:], names=["doc_id", "stratum", "text"])
+            for lo, hi in text_batches(plain, "text", 16 << 20):
+                rows = plain.slice(lo, hi - lo)
+                own = pa.StructArray.from_arrays([rows.column("doc_id"), rows.column("stratum"), *_counts(rows)], names=["doc_id", "stratum", *COUNTS])
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:width]), own], names=[*docs_columns, "__quality"])
+
+    docs_columns = docs.columns
+    return docs.select(*docs_columns, *(c.alias(f"__{k}") for k, c in enumerate(_plain(docs, stratum, text, key)))).mapInArrow(run, schema)
 
 
 def base_failed() -> F.Column:
@@ -165,14 +188,26 @@ def select_cutoffs(feats: DataFrame, labels: DataFrame, alpha: float = ALPHA, de
     return passed
 
 
-def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, stratum: str = "lang", text: str = "text", key: str = "doc_id", row: str | None = None) -> DataFrame:
-    """doc_id, ``row`` if named, the counts, base_failed, kept and failed_rule (the first rule that rejects, base included)."""
-    feats = staged(features(docs, stratum, text, key, row), "quality-counts")
-    cutoffs = select_cutoffs(feats, labels, alpha, delta)
+def _failed_rule(cutoffs: dict[str, list[tuple[str, float]]]) -> F.Column:
+    """The first rule that rejects, base included; over the columns of ``features``."""
     failed = F.lit(None).cast("string")
     for s, rules in cutoffs.items():
         case = F.coalesce(*(F.when(F.expr(RULES[name]) > cut, F.lit(name)) for name, cut in rules))
         failed = F.when(F.col("stratum") == s, case).otherwise(failed)
-    failed = F.when(base_failed(), F.lit("base")).otherwise(failed)
+    return F.when(base_failed(), F.lit("base")).otherwise(failed)
+
+
+def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, stratum: str = "lang", text: str = "text", key: str = "doc_id") -> DataFrame:
+    """doc_id, the counts, base_failed, kept and failed_rule (the first rule that rejects, base included)."""
+    feats = staged(features(docs, stratum, text, key), "quality-counts")
+    failed = _failed_rule(select_cutoffs(feats, labels, alpha, delta))
     out = feats.withColumn("base_failed", base_failed()).withColumn("failed_rule", failed)
-    return out.select("doc_id", *([row] if row else []), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("failed_rule").isNull().alias("kept"), "failed_rule")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("failed_rule").isNull().alias("kept"), "failed_rule")
+
+
+def keep(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, stratum: str = "lang", text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps: each row carries its own counts, so ids may repeat or be null and no text is shuffled."""
+    counted = staged(counted_rows(docs, stratum, text, key), "quality-rows")
+    own = counted.select("__quality.*")
+    failed = _failed_rule(select_cutoffs(own, labels, alpha, delta))
+    return counted.select(F.struct(*docs.columns).alias("__document"), "__quality.*").where(failed.isNull()).select("__document.*")

@@ -540,4 +540,5 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, accept
     # The first of each component of the first measure, then of the components that the second measure joins.
     first = numbered.groupBy("component_id").agg(F.min("place").alias("place"))
     first = first.join(joined, first["component_id"] == joined["node"], "left").groupBy(F.coalesce("component", "component_id")).agg(F.min("place").alias("place"))
-    return rows.join(first.select(F.col("place.row").alias(ROW)), ROW, "left_semi").select(*docs.columns)
+    # The list of rows grows with the table: it is sorted and merged at every size.
+    return rows.join(first.select(F.col("place.row").alias(ROW)).hint("merge"), ROW, "left_semi").select(*docs.columns)
