@@ -11,13 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import decontamination, packing, quality, simhash, suffix_dedup
-from wordloom.llm._shared import ROW, keyed, staged
+from wordloom.llm._shared import staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = keyed(docs)
-    judged = quality.judge(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), row=ROW)
-    return rows.join(judged.where("not kept").select(ROW), ROW, "left_anti").select(*docs.columns)
+    return quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
