@@ -200,3 +200,16 @@ def test_plan_and_rewrite(spark, tmp_path):
     changed = resharding.rewrite(spark, str(tmp_path / "old"), str(tmp_path / "new"), placed)
     new = {(r["doc_id"], r["shard"]) for r in spark.read.parquet(str(tmp_path / "new")).select("doc_id", "shard").collect()}
     assert new == {(r["doc_id"], r["shard"]) for r in placed.collect() if r["shard"] in changed}
+
+
+def test_equal_texts_share_a_shard_unless_they_fill_much_of_one(spark):
+    rng = random.Random(3)
+    texts = [prose(rng, rng.randint(20, 40)) for _ in range(150)]
+    rows = [(k, texts[k % 150]) for k in range(400)]
+    shards = {}
+    for r in resharding.plan(documents(spark, rows)).collect():
+        shards.setdefault(dict(rows)[r["doc_id"]], set()).add(r["shard"])
+    assert max(map(len, shards.values())) == 1
+    hot = [(k, "the same text of some length " * 3) for k in range(300)] + [(1000 + k, prose(rng, 20)) for k in range(600)]
+    sizes = resharding.plan(documents(spark, hot)).groupBy("shard").agg({"size": "sum"}).toPandas()["sum(size)"]
+    assert len(sizes) == 16 and sizes.max() < 1.1 * sizes.mean()

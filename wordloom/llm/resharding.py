@@ -2,8 +2,8 @@
 
 Documents lie in old shards; new shards have capacities in bytes. The unit of transfer is a
 block: the documents of one old shard whose text falls in one hash bucket, so equal texts travel together.
-A block above ``share`` of a new shard's capacity (one text that is much of the table) is
-split by the hash of the id. Sizes of blocks are summed by Spark; the number of blocks is
+A block above ``SHARE`` of a new shard's capacity is split by further bits of the text's hash, which keeps equal texts together.
+Only a text whose copies take more than ``WHOLE`` of a new shard is split by the hash of the id, as no shard could be even with it. Sizes of blocks are summed by Spark; the number of blocks is
 bounded by ``old shards x buckets x splits``, whatever the input. The driver solves the flow
 between old and new shards, in which a byte that stays costs nothing and a moved byte costs
 one, and deals whole blocks to the flow's arcs. Two broadcast joins with the bounded block table
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 OLD_SHARDS, NEW_SHARDS, BUCKETS = 12, 16, 4096
 #: A block larger than this share of a new shard is split into up to SPLITS parts.
 SHARE, SPLITS = 1 / 64, 1024
+#: Copies of one text stay in one shard up to this share of it.
+WHOLE = 1 / 2
 
 
 def min_cost_flow(old: list[int], capacity: list[int]) -> list[list[int]]:
@@ -101,11 +103,16 @@ def plan(docs: DataFrame, old_shard: F.Column | None = None, old_shards: int = O
     sizes = {(r["old"], r["bucket"]): r["bytes"] for r in rows.groupBy("old", "bucket").agg(F.sum("size").alias("bytes")).collect()}
     spark = docs.sparkSession
     total = sum(sizes.values())
-    most = max(1, int(SHARE * (total / new_shards if capacities is None else min(capacities))))
+    least = total / new_shards if capacities is None else min(capacities)
+    most, whole = max(1, int(SHARE * least)), WHOLE * least
     large = {k: min(SPLITS, -(-v // most)) for k, v in sizes.items() if v > most}
     splits = spark.createDataFrame([(*k, v) for k, v in large.items()], "old int, bucket int, splits int")
-    rows = rows.join(F.broadcast(splits), ["old", "bucket"], "left")
-    rows = rows.withColumn("split", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("splits")), F.lit(0)).cast("int"))
+    # At most new_shards / WHOLE texts are that large if the capacities fit.
+    heavy = rows.groupBy("old", "h").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).where((F.col("bytes") > whole) & (F.col("n") > 1))
+    copies = spark.createDataFrame([(r["old"], r["h"], min(SPLITS, -(-r["bytes"] // most))) for r in heavy.collect()], "old int, h long, copies int")
+    rows = rows.join(F.broadcast(splits), ["old", "bucket"], "left").join(F.broadcast(copies), ["old", "h"], "left")
+    by_id, by_text = F.pmod(F.xxhash64("doc_id"), F.col("copies")), F.pmod(F.shiftright("h", 32), F.col("splits"))
+    rows = rows.withColumn("split", F.coalesce(by_id, by_text, F.lit(0)).cast("int"))
     blocks = rows.groupBy("old", "bucket", "split").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
     blocks.sort(key=lambda b: (b["old"], b["bucket"], b["split"]))
     held = [0] * old_shards
