@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.config import CASES, LexiconConfig
 from wordloom.functions import text as X
+from wordloom.sources.writers import settled
 
 CORRECT = ("CORR", "TAGD", "PLTAN", "TAGE", "DIAL")
 # Weight of a case when one form has to stand for all.
@@ -201,6 +202,7 @@ def candidate_ranks(base: DataFrame, layers: list[DataFrame], top: int | None =
 def number_rows(rows: DataFrame, order: list, name: str) -> DataFrame:
     """Global numbers from 0: a range sort, a count for each partition, and offsets from their prefix sum."""
     part = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id())
+    part = settled(part, "numbered")  # sizes and rows must come from one run of the range sort
     sizes = part.groupBy("__p").agg(F.count("*").alias("__n"), F.min("__i").alias("__first"))  # one row for each partition
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select("__p", "__first", before.alias("__start"))

@@ -17,7 +17,7 @@ from wordloom.sources.writers import settled
 from wordloom.streaming import streams
 
 CFG = replace(WESTERN, own_cap=5.0, rival_floor=4.5, rival_lead=0.2, known_zipf=5.0, typo_gaps=((3, 0.6), (5, 0.5), (10_000, 0.4)), guards=("de", "la", "le"))
-TOP, LIMIT, ADDED_LIMIT = 20_000, 3_000, 2_000
+LIMIT, ADDED_LIMIT = 3_000, 2_000
 YEARS = range(1995, 2002)
 CORRECTIONS = [("teh", "the"), ("thb", "the best"), ("ot", "to"), ("erst", "first"), ("ndou", "and you")]
 _CAP, _FLOOR, _LEAD = CFG.own_cap, CFG.rival_floor, CFG.rival_lead
@@ -54,10 +54,10 @@ def _ranked(spark, d, zipfs=None, lang: str = CFG.language):
     from wordloom.sources.readers import ranked_vocabulary
 
     zipfs = _zipfs(spark, d) if zipfs is None else zipfs
-    return ranked_vocabulary(zipfs, lang, TOP, CFG).join(_own(zipfs, lang).select("word", "zipf"), "word")
+    return ranked_vocabulary(zipfs, lang, cfg=CFG).join(_own(zipfs, lang).select("word", "zipf"), "word")
 
 
-_RANKED = f"r AS (SELECT row_number() OVER (ORDER BY cnt DESC, word) - 1 AS rank, word, cnt, zipf FROM z WHERE lang = 'fr' AND length(word) BETWEEN 1 AND 25 AND regexp_full_match(word, '{_LETTERS[1:-1]}') ORDER BY cnt DESC, word LIMIT {TOP})"
+_RANKED = f"r AS (SELECT row_number() OVER (ORDER BY cnt DESC, word) - 1 AS rank, word, cnt, zipf FROM z WHERE lang = 'fr' AND length(word) BETWEEN 1 AND 25 AND regexp_full_match(word, '{_LETTERS[1:-1]}'))"
 
 
 def word_zipf_rank(spark, d):
