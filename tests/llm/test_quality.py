@@ -1,7 +1,9 @@
 import random
 
+from pyspark.sql import functions as F
+
 from tests.llm._rows import awkward, documents, prose
-from wordloom.llm.quality import binomial_cdf, judge, text_counts
+from wordloom.llm.quality import binomial_cdf, judge, keep, text_counts
 
 WS = " \t\n\r\x0b\x0c"
 
@@ -53,3 +55,14 @@ def test_junk_goes_and_clean_stays(spark):
     few = judge(documents(spark, rows), lab.limit(0))
     assert few.where("kept = base_failed").count() == 0
     assert judge(documents(spark, []), lab).count() == 0
+
+
+def test_keep_decides_row_by_row(spark):
+    rng = random.Random(5)
+    good = prose(rng, 120)
+    rows = [(1, good), (1, good), (1, "short"), (None, good), (None, None), (2, "a b c " * 40), (3, prose(rng, 20_000))]
+    docs = documents(spark, rows).withColumn("n_words", F.lit("x")).withColumn("stratum", F.lit(1.5))
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    got = keep(docs, labels)
+    assert got.columns == docs.columns and sorted((r["doc_id"] or 0, r["text"]) for r in got.collect()) == sorted([(1, good), (1, good), (0, good), rows[-1]])
+    assert keep(documents(spark, []), labels).count() == 0
