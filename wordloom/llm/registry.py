@@ -77,6 +77,14 @@ def op10_flow_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard", "moved")
 
 
+def op13_framed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from wordloom.llm.records import round_trip
+
+    return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_concat_pack": op1_concat_pack,
     "op2_risk_controlled_quality": op2_risk_controlled_quality,
@@ -88,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_template_decontamination": op8_template_decontamination,
     "op9_suffix_group_dedup": op9_suffix_group_dedup,
     "op10_flow_reshard": op10_flow_reshard,
+    "op13_framed_records": op13_framed_records,
 }
 
 ORACLE_SQL: dict[str, str] = {
