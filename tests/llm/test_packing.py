@@ -59,6 +59,10 @@ def test_ids_equal_the_tokenizers_on_odd_texts():
     assert [x.tolist() for x in encoder.encode(texts)] == want
 
 
+def test_very_long_runs_of_white_space(spark):
+    check(spark, [(1, " " * 1_000_000), (2, "a" + " \n" * 300_000 + "b"), (3, "\t" * 19_999 + "x"), (4, "x" * 200_000), (5, " " * 20_000)], window=4096)
+
+
 def test_other_tokenizers_take_their_own_library():
     path = public_tokenizers.path("word_bpe_49k.json")
     encoder, tok = Encoder(path), Tokenizer.from_file(path)

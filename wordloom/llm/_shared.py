@@ -31,14 +31,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts lineage, so that a lost executor costs a reread and not a recomputation.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/wordloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 from wordloom.llm._shared import staged, text_batches
 
 WINDOW = 1024
+#: Runs of white space from which a text goes to the ``tokenizers`` library.
+BLANKS = 20_000
+_LONG_BLANK = re.compile(rf"\s{{{BLANKS}}}")
 #: Fixed value: how the byte-level pre-splitter cuts a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -47,13 +51,18 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.path, self.tok = path, None
         self.fast = self._as_ranks(spec)
-        self.tok = None
         if self.fast is None:
+            self._library()
+
+    def _library(self):  # noqa: ANN202
+        if self.tok is None:
             from tokenizers import Tokenizer
 
-            self.tok = Tokenizer.from_file(path)
+            self.tok = Tokenizer.from_file(self.path)
             self.tok.encode_special_tokens = True
+        return self.tok
 
     @staticmethod
     def _as_ranks(spec: dict):  # noqa: ANN205
@@ -75,7 +84,8 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, unsigned, four bytes each."""
         if self.fast is not None:
-            return [self.fast.encode_to_numpy(t, disallowed_special=()) for t in texts]
+            # The fast splitter's stack doesn't hold very long runs of white space.
+            return [self.fast.encode_to_numpy(t, disallowed_special=()) if len(t) < BLANKS or not _LONG_BLANK.search(t) else np.asarray(self._library().encode(t, add_special_tokens=False).ids, dtype="<u4") for t in texts]
         return [np.asarray(e.ids, dtype="<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
 

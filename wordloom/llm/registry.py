@@ -77,6 +77,20 @@ def op10_flow_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard", "moved")
 
 
+def op11_gallop_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from wordloom.llm.alignment import align
+
+    return align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordloom.llm.whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_framed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -96,6 +110,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_template_decontamination": op8_template_decontamination,
     "op9_suffix_group_dedup": op9_suffix_group_dedup,
     "op10_flow_reshard": op10_flow_reshard,
+    "op11_gallop_alignment": op11_gallop_alignment,
+    "op12_incremental_whitening": op12_incremental_whitening,
     "op13_framed_records": op13_framed_records,
 }
 
