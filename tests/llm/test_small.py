@@ -213,3 +213,24 @@ def test_equal_texts_share_a_shard_unless_they_fill_much_of_one(spark):
     hot = [(k, "the same text of some length " * 3) for k in range(300)] + [(1000 + k, prose(rng, 20)) for k in range(600)]
     sizes = resharding.plan(documents(spark, hot)).groupBy("shard").agg({"size": "sum"}).toPandas()["sum(size)"]
     assert len(sizes) == 16 and sizes.max() < 1.1 * sizes.mean()
+
+
+@pytest.mark.parametrize("bad", ('<p "', "<a", "<li></x>", '<p "> "', "<!", "<p '\">\"", "<", "<script>", "<div>", "&#1", "</script "))
+def test_broken_pages_take_time_in_proportion(bad):
+    import time
+
+    from wordloom.llm.htmlblocks import main_text
+
+    began = time.process_time()
+    main_text(bad * (1_000_000 // len(bad)))
+    main_text(bad * (1_000_000 // len(bad)) + "'>")
+    assert time.process_time() - began < 20
+
+
+def test_where_tags_end():
+    from wordloom.llm.htmlblocks import blocks
+
+    texts = lambda page: [b[0] for b in blocks(page)]
+    assert texts("<p title='a > b'>one</p><p class=\"x>two</p>") == ["one", "two"]
+    assert texts("a < b <p>c<!-- <p>d --> e<!doctype x><![CDATA[ f ]]>g<p>h <ul") == ["a < b", "c eg", "h"]
+    assert texts("<script>if (a < b) '</p>'</script >x<style>y") == ["x"]

@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,13 +28,12 @@ from wordloom.llm._shared import text_batches
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "in_main", "in_boiler", "in_heading")
 MAX_DEPTH = 5
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|textarea|select|title|button|object|canvas|audio|video)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>|</?[a-zA-Z][^<>]*\Z",
-    re.S | re.I,
-)
+_TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
+_PLAIN_END, _QUOTED_END = re.compile("[^>\"']*+>"), re.compile("(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
+_SPECIAL = re.compile("[>\"']")
+#: Elements whose content is no text of the page.
+_HIDDEN_TAGS = frozenset("script style noscript template svg iframe textarea select title button object canvas audio video".split())
+_HIDDEN_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in _HIDDEN_TAGS}
 _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORD = re.compile(r"[A-Za-z]+")
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter nobr output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input link meta".split())
@@ -66,11 +67,80 @@ def _hints(tag: str, attrs: str) -> tuple[bool, bool]:
     return boiler, main and not boiler
 
 
+class Tags:
+    """The tags of a page, each found by looking at no part of the page more than a few times, however broken it is.
+
+    A tag ends at the first ``>`` outside quotes, or, if its quotes leave none, at the first ``>`` at all.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last_end, self.last_start = page, page.rfind(">"), page.rfind("<")
+        self.spots: list[int] | None = None
+
+    def _end(self, at: int) -> int:
+        """The place after the tag whose name ends at ``at``; some ``>`` follows."""
+        if m := _PLAIN_END.match(self.page, at):
+            return m.end()
+        if self.spots is None:
+            if m := _QUOTED_END.match(self.page, at):
+                return m.end()
+            self._index()
+        i = bisect_left(self.spots, at)
+        end = self.ends[i] if i < len(self.spots) else -1
+        return end + 1 if end >= 0 else self.page.index(">", at) + 1
+
+    def _index(self) -> None:
+        """For each ``>`` and quote, read from outside quotes, the ``>`` that ends a tag (or -1): one pass from the back."""
+        self.spots = [m.start() for m in _SPECIAL.finditer(self.page)]
+        self.ends, after = [-1] * (len(self.spots) + 1), {}
+        for i in range(len(self.spots) - 1, -1, -1):
+            c = self.page[self.spots[i]]
+            if c == ">":
+                self.ends[i] = self.spots[i]
+            else:
+                self.ends[i] = self.ends[after[c] + 1] if c in after else -1
+                after[c] = i
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str | None, str]]:
+        """(start, end, closing, name or None where there is nothing but markup to skip, attributes)."""
+        page, at = self.page, 0
+        while (start := page.find("<", at)) >= 0:
+            if page.startswith("<!--", start) or page.startswith("<![CDATA[", start):
+                close, skip = ("-->", 4) if page[start + 2] == "-" else ("]]>", 9)
+                end = page.find(close, start + skip)
+                at = len(page) if end < 0 else end + 3
+                yield start, at, False, None, ""
+                continue
+            m = _TAG.match(page, start)
+            if m is None:
+                if page[start + 1 : start + 2] in ("!", "?"):
+                    at = page.index(">", start) + 1 if start < self.last_end else len(page)
+                    yield start, at, False, None, ""
+                else:
+                    at = start + 1
+                continue
+            if m.end() > self.last_end:
+                # A tag that the page's end cuts off; with more of them behind it, plain text.
+                if start < self.last_start:
+                    at = start + 1
+                    continue
+                yield start, len(page), False, None, ""
+                return
+            name, closing, at = m[1].lower(), page[start + 1] == "/", self._end(m.end())
+            if name in _HIDDEN_TAGS and not closing:
+                found = _HIDDEN_END[name].search(page, at)
+                at = found.end() if found else len(page)
+                yield start, at, False, None, ""
+            else:
+                yield start, at, closing, name, page[m.end() : at - 1]
+
+
 def blocks(page: str | None) -> list[tuple[str, float, bool, bool, bool]]:
     """(text, link density, in main, in boilerplate, heading) of each block, in page order."""
     page = page or ""
     found: list[tuple[str, float, bool, bool, bool]] = []
     open_tags: list[tuple[str, bool, bool]] = []
+    opened: Counter[str] = Counter()
     boiler = main = links = 0
     heading = False
     pieces: list[str] = []
@@ -87,40 +157,40 @@ def blocks(page: str | None) -> list[tuple[str, float, bool, bool, bool]]:
         linked = 0
 
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            piece = page[at : m.start()]
+    for start, end, closing, tag, attrs in Tags(page):
+        if start > at:
+            piece = page[at:start]
             pieces.append(piece)
             if links:
                 linked += len(piece.strip())
-        at = m.end()
-        tag = m[3]
+        at = end
         if tag is None:
             continue
-        tag = tag.lower()
         if tag in _INLINE:
             if tag == "a":
-                links = 0 if m[2] else 1
+                links = 0 if closing else 1
             continue
         if tag == "br":
             pieces.append(" ")
             continue
         close()
         if tag in _HEADINGS:
-            heading = not m[2]
+            heading = not closing
         elif tag == "p":
             heading = False
-        elif tag in _VOID or m[4].endswith("/"):
+        elif tag in _VOID or attrs.endswith("/"):
             continue
-        elif not m[2]:
-            b, a = _hints(tag, m[4])
+        elif not closing:
+            b, a = _hints(tag, attrs)
             open_tags.append((tag, b, a))
+            opened[tag] += 1
             boiler += b
             main += a
-        elif any(t == tag for t, _, _ in open_tags):
+        elif opened[tag]:
             links = 0
             while open_tags:
                 t, b, a = open_tags.pop()
+                opened[t] -= 1
                 boiler -= b
                 main -= a
                 if t == tag:
