@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Stretches held by a worker, and the longest one held (code points).
-KEPT, LONGEST = 300_000, 48
+KEPT, LONGEST = 600_000, 48
 #: Characters that Python takes for white space and the tokenizers don't.
 _UNSURE = re.compile("[\x1c-\x1f]")
 #: A splitter that keeps no white space, and the steps allowed before it.
@@ -46,7 +46,7 @@ class StretchCache:
         for at in range(0, len(new), 5_000):
             part = new[at : at + 5_000]
             for stretch, ids in zip(part, self.encode(part)):
-                (found if len(stretch) <= LONGEST else once)[stretch] = np.asarray(ids, dtype=self.kind).tobytes()
+                (found if len(stretch) <= LONGEST else once)[stretch] = ids if isinstance(ids, bytes) else np.asarray(ids, dtype=self.kind).tobytes()
         every = {**found, **once} if once else found
         out = [b"".join(map(every.__getitem__, stretches)) for stretches in texts]
         if len(found) > KEPT // 2:
@@ -57,7 +57,8 @@ class StretchCache:
 class WordEncoder:
     """Ids by a ``tokenizers`` file, packed in ``width`` bytes each.
 
-    Where the file's splitter keeps no white space, a text of Latin letters and common signs is cut into the splitter's own pieces, any other one at white space.
+    Where the file's splitter keeps no white space, texts are cut at white space. The words of a text of Latin letters and common signs are lower-cased
+    first, and new ones among them are cut into the splitter's own pieces, of which many go to the library in one call.
     """
 
     def __init__(self, path: str):
@@ -70,7 +71,7 @@ class WordEncoder:
         self.tok.encode_special_tokens = True
         vocabulary = self.tok.get_vocab()
         self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
-        self.stretches = self.pieces = None
+        self.stretches = self.pieces = self.words = None
         if self._drops_space(spec):
             self.stretches = StretchCache(self._ids, self.width)
         ending = (spec["model"].get("end_of_word_suffix") or "") if spec["model"].get("type") == "BPE" else ""
@@ -78,6 +79,7 @@ class WordEncoder:
             self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
             self.ends[[i for w, i in vocabulary.items() if w.endswith(ending)]] = True
             self.pieces = StretchCache(self._piece_ids, self.width)
+            self.words = StretchCache(lambda words: self.pieces.packed([_PIECE.findall(w) for w in words]), self.width)
 
     @staticmethod
     def _drops_space(spec: dict) -> bool:
@@ -103,9 +105,9 @@ class WordEncoder:
     def packed(self, texts: list[str]) -> list[bytes]:
         if self.stretches is None:
             return [np.asarray(x, dtype=f"<u{self.width}").tobytes() for x in self._ids(texts)]
-        latin = [self.pieces is not None and not _BEYOND.search(t) for t in texts]
+        latin = [self.words is not None and not _BEYOND.search(t) for t in texts]
         out: list[bytes] = [b""] * len(texts)
-        for cache, chosen, cut in ((self.pieces, True, lambda t: _PIECE.findall(t.lower())), (self.stretches, False, lambda t: [t] if _UNSURE.search(t) else t.split())):
+        for cache, chosen, cut in ((self.words, True, lambda t: t.lower().split()), (self.stretches, False, lambda t: [t] if _UNSURE.search(t) else t.split())):
             at = [i for i, x in enumerate(latin) if x == chosen]
             if at:
                 for i, ids in zip(at, cache.packed([cut(texts[i]) for i in at])):
