@@ -1,0 +1,5 @@
+"""Registered queries, by catalog."""
+
+from wordloom.plans import casing_catalog, catalog
+
+CATALOGS = (catalog, casing_catalog)
