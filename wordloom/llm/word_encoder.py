@@ -16,13 +16,15 @@ import numpy as np
 
 #: Stretches held by a worker, and the longest one held (code points).
 KEPT, LONGEST = 600_000, 48
+#: Stretches in one call of a library.
+AT_ONCE = 20_000
 #: Characters that Python takes for white space and the tokenizers don't.
 _UNSURE = re.compile("[\x1c-\x1f]")
 #: A splitter that keeps no white space, and the steps allowed before it.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: What stands outside letters and signs that lower-casing and composing treat one by one; and the splitter's pieces of a lower-cased text within them.
 _BEYOND = re.compile("[^\t\n\r -~\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf-\u012f\u0131-\u017f\u2010-\u2027\u20ac]")
-_PIECE = re.compile("[a-z\u00df-\u00f6\u00f8-\u017f]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u017f]+")
+_PIECE = re.compile("[a-z\u00df-\u00f6\u00f8-\u017f]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|\n|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u017f]+")
 _SAFE_STEPS = ({"type": "NFC"}, {"type": "Lowercase"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "})
 
 
@@ -39,12 +41,12 @@ class StretchCache:
         """The ids of each text, given as its stretches."""
         met = set().union(*texts)
         need = met.difference(self.young)
-        known = need.intersection(self.old)
+        known = list(filter(self.old.__contains__, need))
         found = self.young
         found.update(zip(known, map(self.old.__getitem__, known)))
         new, once = list(need.difference(known)), {}
-        for at in range(0, len(new), 5_000):
-            part = new[at : at + 5_000]
+        for at in range(0, len(new), AT_ONCE):
+            part = new[at : at + AT_ONCE]
             for stretch, ids in zip(part, self.encode(part)):
                 (found if len(stretch) <= LONGEST else once)[stretch] = ids if isinstance(ids, bytes) else np.asarray(ids, dtype=self.kind).tobytes()
         every = {**found, **once} if once else found
@@ -70,7 +72,7 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         vocabulary = self.tok.get_vocab()
-        self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
+        self.width = 2 if max(vocabulary.values()) < (1 << 16) - 1 else 4
         self.stretches = self.pieces = self.words = None
         if self._drops_space(spec):
             self.stretches = StretchCache(self._ids, self.width)
@@ -79,7 +81,7 @@ class WordEncoder:
             self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
             self.ends[[i for w, i in vocabulary.items() if w.endswith(ending)]] = True
             self.pieces = StretchCache(self._piece_ids, self.width)
-            self.words = StretchCache(lambda words: self.pieces.packed([_PIECE.findall(w) for w in words]), self.width)
+            self.words = StretchCache(self._word_ids, self.width)
 
     @staticmethod
     def _drops_space(spec: dict) -> bool:
@@ -94,13 +96,27 @@ class WordEncoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _piece_ids(self, pieces: list[str]) -> list[np.ndarray]:
+    def _piece_ids(self, pieces: list[str]) -> list:
         """One call for many pieces: each is one word of the model, whose last id carries the end mark."""
-        ids = np.asarray(self._ids([" ".join(pieces)])[0], dtype=np.int64)
+        ids = np.asarray(self._ids([" ".join(pieces)])[0], dtype=self.pieces.kind)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(pieces):
             return self._ids(pieces)
-        return np.split(ids, stops[:-1])
+        return self._cut(ids.tobytes(), stops.tolist(), 0)
+
+    def _cut(self, packed: bytes, stops: list[int], skip: int) -> list[bytes]:
+        """The ids up to each of ``stops``, without ``skip`` ids after each."""
+        w = self.width
+        return [packed[lo * w : hi * w] for lo, hi in zip([0, *(x + skip for x in stops)], stops)]
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """All words at once: they are cut as one text, in which a line end of its own id parts them."""
+        mark = b"\xff" * self.width
+        flat = _PIECE.findall("\n".join(words))
+        self.pieces.young["\n"] = mark
+        ids = self.pieces.packed([flat])[0]
+        whole = np.frombuffer(ids, dtype=self.pieces.kind)
+        return self._cut(ids, [*np.flatnonzero(whole == (1 << 8 * self.width) - 1).tolist(), len(whole)], 1)
 
     def packed(self, texts: list[str]) -> list[bytes]:
         if self.stretches is None:
