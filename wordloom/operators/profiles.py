@@ -5,14 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.sources.writers import settled
+
+
+def ancestors(profiles: DataFrame) -> DataFrame:
+    """name, ancestor, distance: every profile with itself (0), its base (1) and all theirs.
+
+    Pointers are doubled: round k knows all ancestors nearer than 2 ** k, so a chain of any depth takes logarithmically many rounds, each of one join.
+    A profile among its own ancestors is in a cycle, which raises. A base that has no row of its own adds nothing.
+    """
+    links = settled(profiles.select("name", F.col("base").alias("up")).join(profiles.select(F.col("name").alias("up")), "up", "left_semi"), "bases")
+    found = profiles.select("name", F.col("name").alias("ancestor"), F.lit(0).cast("long").alias("distance"))
+    reach = 1
+    while not links.isEmpty():
+        # What the profile ``reach`` steps up knows, that many steps further.
+        theirs = found.select(F.col("name").alias("up"), "ancestor", (F.col("distance") + reach).alias("distance"))
+        found = settled(found.unionByName(links.join(theirs, "up").select("name", "ancestor", "distance")), "ancestors")
+        if around := found.where("name = ancestor and distance > 0").limit(5).collect():
+            raise ValueError(f"profiles inherit in a cycle: {sorted({r['name'] for r in around})}")
+        links = settled(links.join(links.select(F.col("name").alias("up"), F.col("up").alias("further")), "up").select("name", F.col("further").alias("up")), "bases")
+        reach *= 2
+    return found
+
 
 def resolve_profiles(profiles: DataFrame) -> DataFrame:
-    """V1: a profile's modules with its base's, own priorities over the base's (one level)."""
-    base = profiles.select(F.col("name").alias("base"), F.col("modules").alias("bm"), F.col("priority").alias("bp"))
-    rows = profiles.join(base, "base", "left")
+    """V1: name, modules, priority, depth: modules from the root down, each at its first place; the nearest profile's priority for each key wins."""
+    rows = ancestors(profiles).join(profiles.select(F.col("name").alias("ancestor"), "modules", "priority"), "ancestor")
+    order = F.struct((-F.col("distance")).alias("d"), F.col("i").alias("i"))
+    modules = rows.select("name", "distance", F.posexplode("modules").alias("i", "module")).groupBy("name", "module").agg(F.min(order).alias("o"))
+    modules = modules.groupBy("name").agg(F.transform(F.sort_array(F.collect_list(F.struct("o", "module"))), lambda x: x["module"]).alias("modules"))
+    nearest = rows.select("name", "distance", F.explode("priority").alias("k", "v")).groupBy("name", "k").agg(F.min_by("v", "distance").alias("v"))
+    priority = nearest.groupBy("name").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "v")))).alias("priority"))
+    depth = rows.groupBy("name").agg(F.max("distance").alias("depth"))
     none, empty = F.array().cast("array<string>"), F.create_map().cast("map<string,double>")
-    own, theirs = F.coalesce("priority", empty), F.map_filter(F.coalesce("bp", empty), lambda k, v: ~F.map_contains_key(F.coalesce(F.col("priority"), empty), k))
-    return rows.select("name", F.array_union(F.coalesce("bm", none), F.coalesce("modules", none)).alias("modules"), F.map_concat(theirs, own).alias("priority"))
+    return depth.join(modules, "name", "left").join(priority, "name", "left").select("name", F.coalesce("modules", none).alias("modules"), F.coalesce("priority", empty).alias("priority"), "depth")
 
 
 def profile_vocabulary(profile: DataFrame, terms: DataFrame, core: DataFrame) -> DataFrame:

@@ -1,5 +1,5 @@
 """Registered queries, by catalog."""
 
-from wordloom.plans import casing_catalog, catalog
+from wordloom.plans import casing_catalog, catalog, state_catalog
 
-CATALOGS = (catalog, casing_catalog)
+CATALOGS = (catalog, casing_catalog, state_catalog)
