@@ -13,20 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_dir: str | None = None
-#: The column of ``keyed``.
-ROW = "__row"
 
 
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only where that setting is missing (unit tests, a laptop) is a folder made here.
+    Only where that setting is missing and the master is local (unit tests, a laptop) is a folder made here.
     """
     global _own_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if _own_dir is None:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _own_dir = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return _own_dir
 
@@ -55,9 +55,18 @@ def discarded(spark: SparkSession, *tables: DataFrame) -> None:
     jvm.java.lang.System.gc()
 
 
-def keyed(df: DataFrame) -> DataFrame:
-    """``df`` staged with a number of its own for each row, as ids may repeat or be null."""
-    return staged(df.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, made longer until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def keyed(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` staged with a number of its own for each row, as ids may repeat or be null; and that column's name."""
+    row = fresh(df.columns, "row_number")
+    return staged(df.withColumn(row, F.monotonically_increasing_id()), "keyed"), row
 
 
 def utf8(text: str | None) -> bytes:

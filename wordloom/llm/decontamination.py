@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm._shared import ROW, keyed, text_batches, utf8
+from wordloom.llm._shared import keyed, text_batches, utf8
 
 WINDOW, LITERALS, THRESHOLD, FILTER_LIMIT = 5, 3, 0.8, 1 << 21
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "“”‘’«»„…–—¿¡"
@@ -168,6 +168,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows that hold no item; each is decided by itself, whatever its id."""
-    rows = keyed(docs)
-    found = matches(rows, benchmark, key=ROW, **options).select(F.col("doc_id").alias(ROW)).distinct()
-    return rows.join(found, ROW, "left_anti").select(*docs.columns)
+    rows, row = keyed(docs)
+    found = matches(rows, benchmark, key=row, **options).select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(found, row, "left_anti").select(*docs.columns)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.llm._shared import staged, text_batches, utf8
+from wordloom.llm._shared import fresh, staged, text_batches, utf8
 
 ALPHA, DELTA, GOOD_COST = 0.02, 0.05, 20
 #: Candidate cutoffs for each rule and stratum: quantiles of its values on the first half.
@@ -46,6 +46,10 @@ RULES = {
 _SPACE, _SYMBOLS, _UPPER, _DIGITS, _MARKS = b" \t\n\r\x0b\x0c", b"#*$%&|<>", bytes(range(65, 91)), b"0123456789", b"!?"
 
 
+#: The stratum of rows without one; an empty text is a stratum of its own.
+NO_STRATUM = "\x00"
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words that lie in a 3-word window which the text holds twice or more."""
     n = len(words)
@@ -85,7 +89,7 @@ def text_counts(text: str | None) -> tuple[int, ...]:
 
 
 def _plain(docs: DataFrame, stratum: str, text: str, key: str) -> list[F.Column]:
-    return [F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.col(text).cast("string").alias("text")]
+    return [F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit(NO_STRATUM)).alias("stratum"), F.xxhash64(F.col(text).cast("string")).alias("text_id"), F.col(text).cast("string").alias("text")]
 
 
 def _counts(rows: pa.RecordBatch) -> list[pa.Array]:
@@ -93,32 +97,33 @@ def _counts(rows: pa.RecordBatch) -> list[pa.Array]:
 
 
 def features(docs: DataFrame, stratum: str = "lang", text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, stratum and the counts of each document."""
+    """doc_id, stratum, text_id (a hash of the text) and the counts of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in text_batches(batch, "text", 16 << 20):
                 rows = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("stratum"), *_counts(rows)], names=["doc_id", "stratum", *COUNTS])
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("stratum"), rows.column("text_id"), *_counts(rows)], names=["doc_id", "stratum", "text_id", *COUNTS])
 
-    return docs.select(*_plain(docs, stratum, text, key)).mapInArrow(run, "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
+    return docs.select(*_plain(docs, stratum, text, key)).mapInArrow(run, "doc_id long, stratum string, text_id long, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
-def counted_rows(docs: DataFrame, stratum: str = "lang", text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` with a column ``__quality``: the columns of ``features``."""
-    width = len(docs.columns)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__quality", T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("stratum", T.StringType()), *(T.StructField(c, T.LongType()) for c in COUNTS)]))])
+def counted_rows(docs: DataFrame, stratum: str = "lang", text: str = "text", key: str = "doc_id") -> tuple[DataFrame, str]:
+    """The rows of ``docs`` with a struct of the columns of ``features``; and its name."""
+    width, own_name = len(docs.columns), fresh(docs.columns, "quality_counts")
+    schema = T.StructType([*docs.schema.fields, T.StructField(own_name, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("stratum", T.StringType()), T.StructField("text_id", T.LongType()), *(T.StructField(c, T.LongType()) for c in COUNTS)]))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            plain = pa.RecordBatch.from_arrays(batch.columns[width:], names=["doc_id", "stratum", "text"])
+            plain = pa.RecordBatch.from_arrays(batch.columns[width:], names=["doc_id", "stratum", "text_id", "text"])
             for lo, hi in text_batches(plain, "text", 16 << 20):
                 rows = plain.slice(lo, hi - lo)
-                own = pa.StructArray.from_arrays([rows.column("doc_id"), rows.column("stratum"), *_counts(rows)], names=["doc_id", "stratum", *COUNTS])
-                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:width]), own], names=[*docs_columns, "__quality"])
+                own = pa.StructArray.from_arrays([rows.column("doc_id"), rows.column("stratum"), rows.column("text_id"), *_counts(rows)], names=["doc_id", "stratum", "text_id", *COUNTS])
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:width]), own], names=[*docs_columns, own_name])
 
     docs_columns = docs.columns
-    return docs.select(*docs_columns, *(c.alias(f"__{k}") for k, c in enumerate(_plain(docs, stratum, text, key)))).mapInArrow(run, schema)
+    more = [c.alias(fresh(docs_columns, f"quality_{k}")) for k, c in enumerate(_plain(docs, stratum, text, key))]
+    return docs.select(*docs_columns, *more).mapInArrow(run, schema), own_name
 
 
 def base_failed() -> F.Column:
@@ -137,7 +142,9 @@ def binomial_cdf(k: int, n: int, p: float) -> float:
 def _labelled(feats: DataFrame, labels: DataFrame, label: str, key: str) -> DataFrame:
     marked = labels.groupBy(F.col(key).cast("long").alias("doc_id")).agg(F.min(F.col(label).cast("int")).alias("good")).where("doc_id is not null and good is not null")
     rules = F.array(*(F.expr(e).cast("double") for e in RULES.values()))
-    return feats.where(~base_failed()).join(marked, "doc_id").select("stratum", F.col("good") > 0, (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0).alias("holdout"), rules.alias("v")).toDF("stratum", "good", "holdout", "v")
+    # Each text counts once and lies on one side of the split, however often it or its id occurs; one good label makes it good.
+    texts = feats.where(~base_failed()).join(marked, "doc_id").groupBy("stratum", "text_id").agg(F.max(F.col("good") > 0).alias("good"), F.max(rules).alias("v"))
+    return texts.select("stratum", "good", (F.pmod(F.xxhash64("text_id"), F.lit(2)) == 0).alias("holdout"), "v")
 
 
 def select_cutoffs(feats: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, label: str = "quality", key: str = "doc_id") -> dict[str, list[tuple[str, float]]]:
@@ -207,7 +214,8 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float
 
 def keep(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, stratum: str = "lang", text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps: each row carries its own counts, so ids may repeat or be null and no text is shuffled."""
-    counted = staged(counted_rows(docs, stratum, text, key), "quality-rows")
-    own = counted.select("__quality.*")
+    rows, counts = counted_rows(docs, stratum, text, key)
+    counted = staged(rows, "quality-rows")
+    own = counted.select(f"{counts}.*")
     failed = _failed_rule(select_cutoffs(own, labels, alpha, delta))
-    return counted.select(F.struct(*docs.columns).alias("__document"), "__quality.*").where(failed.isNull()).select("__document.*")
+    return counted.select(F.struct(*docs.columns).alias("document"), f"{counts}.*").where(failed.isNull()).select("document.*")

@@ -20,6 +20,8 @@ from collections import deque
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wordloom.llm._shared import fresh
+
 OLD_SHARDS, NEW_SHARDS, BUCKETS = 12, 16, 4096
 #: A block larger than this share of a new shard is split into up to SPLITS parts.
 SHARE, SPLITS = 1 / 64, 1024
@@ -129,14 +131,22 @@ def plan(docs: DataFrame, old_shard: F.Column | None = None, old_shards: int = O
     return placed.select("doc_id", "size", "text_crc32", F.col("old").alias("old_shard"), "shard", (F.col("first_slot") + F.row_number().over(within) - 1).alias("slot"), (F.col("old") != F.col("shard")).alias("moved"))
 
 
-def rewrite(spark: SparkSession, old_path: str, new_path: str, placement: DataFrame, key: str = "doc_id") -> list[int]:
+def rewrite(spark: SparkSession, old_path: str, new_path: str, placement: DataFrame, key: str = "doc_id", text: str = "text") -> list[int]:
     """Write the files of the new shards that gain or lose rows; returns their numbers.
 
-    ``old_path`` holds folders ``shard=N``. Shards without a moved row stay where they are and are not read again.
+    ``old_path`` holds folders ``shard=N``. Shards without a moved row stay where they are and are not read again. A row finds its place by its id, its text's
+    size and checksum and its old shard. ``plan`` sends rows that agree in all of these to one shard, so one place stands for all of them: repeated rows stay as many as they were.
     """
     changed = placement.where("moved").select(F.explode(F.array("old_shard", "shard")).alias("s")).distinct()
     numbers = sorted(r["s"] for r in changed.collect())
-    rows = spark.read.parquet(old_path).where(F.col("shard").isin(numbers)).drop("shard")
-    to = placement.where(F.col("shard").isin(numbers)).select(F.col("doc_id").alias(key), "shard", "slot")
-    rows.join(to, key).repartition(max(1, len(numbers)), "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(new_path)
+    whole = spark.read.parquet(old_path)
+    rows = whole.where(F.col("shard").isin(numbers)) if numbers else whole.limit(0)
+    same = ["doc_id", "size", "text_crc32", "old_shard"]
+    places = placement.where(F.col("shard").isin(numbers)).groupBy(*same).agg(F.min("shard").alias("to_shard"), F.min("slot").alias("first_slot"))
+    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    mine = rows.select(F.struct(*(c for c in rows.columns if c != "shard")).alias("row"), F.col(key).cast("long").alias("k0"), (F.octet_length(t) + 1).cast("long").alias("k1"), F.crc32(t.cast("binary")).alias("k2"), F.col("shard").cast("int").alias("k3"))
+    met = mine.join(places, [F.col("k0").eqNullSafe(F.col("doc_id")), F.col("k1") == F.col("size"), F.col("k2") == F.col("text_crc32"), F.col("k3") == F.col("old_shard")])
+    slot = fresh(rows.columns, "first_slot")
+    out = met.select("row.*", F.col("to_shard").alias("shard"), F.col("first_slot").alias(slot))
+    out.repartition(max(1, len(numbers)), "shard").sortWithinPartitions("shard", slot).drop(slot).write.partitionBy("shard").parquet(new_path)
     return numbers

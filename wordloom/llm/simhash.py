@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm._shared import ROW, discarded, keyed, local_components, staged, star_edges, text_batches, utf8
+from wordloom.llm._shared import discarded, keyed, local_components, staged, star_edges, text_batches, utf8
 from wordloom.llm.graph import connected_components
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
@@ -533,12 +533,12 @@ def groups(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, accept:
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, accept: int = ACCEPT, key: str = "doc_id") -> DataFrame:
     """The documents without near-duplicates: of each group one row with the smallest id stays, a null id last."""
-    rows = keyed(docs)
-    close, joined = groups(rows, radius, width, accept, key=ROW)
-    place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col(ROW).alias("row"))
-    numbered = close.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, place.alias("place")), ROW)
+    rows, row = keyed(docs)
+    close, joined = groups(rows, radius, width, accept, key=row)
+    place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col(row).alias("row"))
+    numbered = close.select(F.col("doc_id").alias("number"), "component_id").join(rows.select(F.col(row).alias("number"), place.alias("place")), "number")
     # The first of each component of the first measure, then of the components that the second measure joins.
     first = numbered.groupBy("component_id").agg(F.min("place").alias("place"))
     first = first.join(joined, first["component_id"] == joined["node"], "left").groupBy(F.coalesce("component", "component_id")).agg(F.min("place").alias("place"))
     # The list of rows grows with the table: it is sorted and merged at every size.
-    return rows.join(first.select(F.col("place.row").alias(ROW)).hint("merge"), ROW, "left_semi").select(*docs.columns)
+    return rows.join(first.select(F.col("place.row").alias(row)).hint("merge"), row, "left_semi").select(*docs.columns)

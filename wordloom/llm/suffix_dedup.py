@@ -12,7 +12,7 @@ left of the anchor and up to ``LENGTH`` to the right.
    are joined into one text; its suffix array (built by grouping, over blocks of bytes) orders the right sides and gives the
    lengths that neighbours share. For each distance d, strings whose right sides share LENGTH - d bytes and whose d bytes
    to the left are equal are repeated.
-4. A key with more than ``HOT`` contexts isn't gathered: its strings are dealt and counted by 128-bit hash instead.
+4. A key with more than ``HOT`` contexts isn't gathered: its strings are dealt and counted by two salts of one 64-bit hash instead.
 
 Rows: null text counts as empty; copies of a row, also under the same doc_id, repeat each other; very long texts are read
 in overlapping pieces; an empty table gives an empty result; other columns are ignored (``dedup_text`` keeps them).
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm._shared import discarded, staged, text_batches, utf8
+from wordloom.llm._shared import discarded, fresh, staged, text_batches, utf8
 from wordloom.llm.grouping_sort import suffix_order
 
 LENGTH, FRONT, GRAM = 200, 168, 24
@@ -350,10 +350,10 @@ def removal(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
 def dedup_text(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with the remaining text of each row; a character cut by a removed range goes with it. Other columns stay."""
     columns = docs.columns
-    own, wanted = docs.schema[text], "__row"
+    own, wanted, repeats = docs.schema[text], fresh(columns, "row_hash"), fresh(columns, "repeated_runs")
     rows = docs.withColumn(wanted, F.xxhash64(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
     plain = rows.select(F.col(wanted).alias("row"), F.col(text).cast("string").alias("text"))
-    runs = repeated_runs(plain).distinct().groupBy("row").agg(F.collect_list(F.struct("start", "len")).alias("runs")).toDF(wanted, "__runs")
+    runs = repeated_runs(plain).distinct().groupBy("row").agg(F.collect_list(F.struct("start", "len")).alias("runs")).toDF(wanted, repeats)
     joined = rows.join(runs.hint("shuffle_hash"), wanted, "left").drop(wanted)
 
     @F.pandas_udf("string")
@@ -374,4 +374,4 @@ def dedup_text(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
             out.append("".join(p.decode("utf-8", "ignore") for p in parts))
         return pd.Series(out, dtype=object)
 
-    return joined.withColumn(text, remaining(F.col(own.name).cast("string"), F.col("__runs"))).select(*columns)
+    return joined.withColumn(text, remaining(F.col(own.name).cast("string"), F.col(repeats))).select(*columns)

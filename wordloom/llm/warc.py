@@ -4,7 +4,7 @@ Both derived records point at their response by WARC-Refers-To and share its tar
 record carries the response's HTTP headers and digests, the conversion record the extracted text with its
 own digests. Record ids of derivatives follow from the response's id and the type, so a rerun gives the same ones.
 
-Rows: records of other types are left out; a null payload counts as empty; a payload without an HTTP head
+Rows: records of other types are left out; a null payload counts as empty; a record without an id gives derivatives whose ids follow from its payload; a payload without an HTTP head
 is all body; repeated rows are derived once each; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -39,7 +39,8 @@ def split_http(payload: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
 
 
 def derive(record_id: str, payload: bytes) -> list[tuple[str, str, str, bytes, str | None]]:
-    """(type, id, content type, block, payload digest) of both derivatives."""
+    """(type, id, content type, block, payload digest) of both derivatives; ids of a record without one follow from its content."""
+    record_id = record_id or f"block:{digest(payload)}"
     status, headers, body = split_http(payload)
     ours = lambda kind: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{record_id}#{kind}')}>"
     fields = [("status", status), *((f"http-header-{k.lower()}", v) for k, v in headers), ("source-block-digest", digest(payload)), ("source-payload-digest", digest(body)), ("source-length", str(len(payload)))]
