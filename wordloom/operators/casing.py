@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.config import LexiconConfig
@@ -210,8 +210,12 @@ def related_forms(words: DataFrame, cfg: LexiconConfig, lemmas: DataFrame | None
 
 
 def keep_first(rows: DataFrame, key: str, order: list[str], value: str) -> tuple[DataFrame, DataFrame]:
-    """The first row of each lower key by an explicit order, and keys whose value differs."""
-    k = rows.withColumn("key", F.lower(key))
-    w = Window.partitionBy("key").orderBy(*order)
-    bad = k.groupBy("key").agg(F.count_distinct(value).alias("n")).where("n > 1")
-    return k.withColumn("__k", F.row_number().over(w)).where("__k = 1").drop("__k"), bad
+    """The first row of each lower key by an explicit order; and (key, value, rows, kept) of keys whose value differs.
+
+    Both come from one aggregate by key and value, so a key's rows are never brought together: first the best row of each value, then the best of those.
+    """
+    whole = F.struct(*rows.columns)
+    each = rows.groupBy(F.lower(key).alias("key"), F.col(value).alias("value")).agg(F.min(F.struct(F.struct(*order).alias("o"), whole.alias("row"))).alias("first"), F.count("*").alias("rows"))
+    per = each.groupBy("key").agg(F.min("first").alias("first"), F.count("*").alias("n_values"))
+    bad = each.withColumnRenamed("first", "own").join(per.where("n_values > 1"), "key").select("key", "value", "rows", (F.col("own") == F.col("first")).alias("kept"))
+    return per.select("first.row.*", "key") if "key" not in rows.columns else per.select("first.row.*"), bad

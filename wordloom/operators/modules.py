@@ -70,6 +70,27 @@ def reverse_validated(forms: DataFrame, analyses: DataFrame, number: str = "sg")
     return forms.withColumn("f", F.lower("form")).withColumn("l", F.lower("name")).join(back, ["f", "l", "case"], "left_semi").drop("f", "l")
 
 
+def reverse_checked(forms: DataFrame, analyses: DataFrame, number: str = "sg") -> DataFrame:
+    """J11 with P10: name, case, form, verdict: ``valid`` where an analysis of the form leads back to its name, case and number, else why not:
+    ``unknown-form`` (no analysis), ``other-lemma`` (none of this name) or ``other-case`` (of this name, in other cases or numbers).
+
+    The analyses become an index by form, one row for each form, lemma and case; the verdict is the best over a form's rows, so nothing is gathered.
+    """
+    tag = F.col("tag")
+    cases = F.when(X.tag_number(tag) == number, X.tag_cases(tag))
+    index = analyses.select(F.lower("orth").alias("f"), F.lower("lemma").alias("l"), F.explode_outer(cases).alias("c")).distinct()
+    rows = forms.select("name", "case", "form", F.lower("form").alias("f")).distinct()
+    rank = F.when((F.col("l") == F.lower("name")) & (F.col("c") == F.col("case")), 3).when(F.col("l") == F.lower("name"), 2).when(F.col("l").isNotNull(), 1).otherwise(0)
+    best = rows.join(index, "f", "left").groupBy("name", "case", "form").agg(F.max(rank).alias("r"))
+    return best.select("name", "case", "form", F.element_at(F.array(*map(F.lit, ("unknown-form", "other-lemma", "other-case", "valid"))), F.col("r") + 1).alias("verdict"))
+
+
+def case_gaps(forms: DataFrame, entity: str = "name", cases: tuple[str, ...] = CASES) -> DataFrame:
+    """A row for each case that an entity lacks."""
+    have = forms.groupBy(entity).agg(F.collect_set("case").alias("have"))
+    return have.select(entity, F.explode(F.array_except(F.array(*map(F.lit, cases)), "have")).alias("case"))
+
+
 def with_overrides(forms: DataFrame, reviewed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Reviewed forms are added and replace the provenance of their (name, case); and overrides of unknown names."""
     known = forms.select("name").distinct()

@@ -110,38 +110,91 @@ def ranked_vocabulary(counts: DataFrame, language: str, top: int | None = None,
     return number_rows(best.select("word", "cnt"), [F.desc("cnt"), "word"], "rank").select(F.col("rank").cast("int").alias("rank"), "word", "cnt")
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _xml(spark: SparkSession, path, row_tag: str, schema: T.StructType) -> DataFrame:
+    """Rows of an XML source; a row element that is no well-formed XML keeps its text under ``CORRUPT`` and costs no other row.
+
+    The text is split at the elements' end tags, so a large file is read by many tasks and a broken row ends where its element does; each row is then parsed on its own.
+    ``row_tag`` and the fields inside may carry a namespace prefix.
+    """
+    whole = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+    chunks = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    bare = row_tag.rsplit(":", 1)[-1]
+    # An element without content has no end tag; what is left behind the last one is no row.
+    rows = F.regexp_extract_all("value", F.lit(rf"(?s)(<{row_tag}\b[^>]*/>|<{row_tag}\b.*\z)"), 1)
+    closed = chunks.select(F.explode(rows).alias("row")).select(F.when(F.col("row").endswith("/>") & ~F.col("row").rlike("(?s)>.*>"), F.col("row")).otherwise(F.concat("row", F.lit(f"</{row_tag}>"))).alias("row"))
+    plain = F.regexp_replace("row", r"(</?)[\w.-]+:", "$1")
+    options = {"rowTag": bare, "valueTag": "_text", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return closed.select(F.from_xml(plain, whole, options).alias("x")).select("x.*")
+
+
 def _xml_schema(fields: list[str]) -> T.StructType:
-    col = T.StructType([T.StructField("_name", T.StringType()), T.StructField("_VALUE", T.StringType())])
+    col = T.StructType([T.StructField(f, T.StringType()) for f in ("_name", "_value", "_text")])
     return T.StructType([*(T.StructField(f, T.StringType()) for f in fields), *(T.StructField(f"_{f}", T.StringType()) for f in fields), T.StructField("col", T.ArrayType(col))])
 
 
 REGISTRY_FIELDS = ("WOJ", "POW", "GMI", "RODZ", "NAZWA", "NAZDOD", "STAN_NA")
 
 
-def read_registry_xml(spark: SparkSession, path, fields: tuple[str, ...] = REGISTRY_FIELDS, row_tag: str = "row") -> DataFrame:
-    """A field is a child tag, an attribute, a named ``col`` or the ``col`` in its position."""
+def registry_records(spark: SparkSession, path, fields: tuple[str, ...] = REGISTRY_FIELDS, row_tag: str = "row", required: tuple[str, ...] = ("WOJ", "NAZWA", "NAZDOD")) -> DataFrame:
+    """The fields in lower case, ``rejected`` (why a row can't be used, else null) and ``raw`` (its text if it is broken XML).
+
+    A field is a named ``col`` (its ``value`` attribute or its text), the ``col`` in its position where none is named and all are there, a child tag or an attribute; an empty text counts as missing.
+    """
     aliases = {"NAZDOD": ("NAZDOD", "NAZWA_DOD")}
     names = sorted({a for f in fields for a in aliases.get(f, (f,))})
-    rows = spark.read.format("xml").option("rowTag", row_tag).schema(_xml_schema(names)).load(path)
+    rows = _xml(spark, path, row_tag, _xml_schema(names))
+    content = lambda c: F.coalesce(c["_value"], c["_text"])
+    named = F.filter("col", lambda c: F.trim(F.coalesce(c["_name"], F.lit(""))) != "")
+    placed = F.when((F.size(F.coalesce("col", F.array())) == len(fields)) & (F.size(named) == 0), F.col("col"))
+
+    def called(a: str):  # noqa: ANN202
+        return lambda c: F.upper(c["_name"]) == a
 
-    def named_col(name: str):
-        return F.get(F.filter("col", lambda c: F.upper(c["_name"]) == name), F.lit(0))["_VALUE"]
+    def pick(i: int, field: str):  # noqa: ANN202
+        ways = aliases.get(field, (field,))
+        by_name = [content(F.get(F.filter(named, called(a)), F.lit(0))) for a in ways]
+        found = F.coalesce(*by_name, content(F.get(placed, F.lit(i))), *(F.col(a) for a in ways), *(F.col(f"_{a}") for a in ways))
+        return F.nullif(F.trim(found), F.lit("")).alias(field.lower())
 
-    def pick(i: int, field: str):
-        ways = []
-        for a in aliases.get(field, (field,)):
-            ways += [F.col(a), F.col(f"_{a}"), named_col(a)]
-        unnamed = F.filter("col", lambda c: c["_name"].isNull())
-        return F.trim(F.coalesce(*ways, F.get(unnamed, F.lit(i))["_VALUE"])).alias(field.lower())
+    out = rows.select(*(pick(i, f) for i, f in enumerate(fields)), F.col(CORRUPT).alias("raw"))
+    lacking = F.coalesce(F.lit(None).cast("string"), *(F.when(F.col(f.lower()).isNull(), f"no-{f.lower()}") for f in required))
+    return out.withColumn("rejected", F.when(F.col("raw").isNotNull(), "broken-xml").otherwise(lacking))
 
-    return rows.select(*(pick(i, f) for i, f in enumerate(fields)))
+
+def read_registry_xml(spark: SparkSession, path, fields: tuple[str, ...] = REGISTRY_FIELDS, row_tag: str = "row") -> DataFrame:
+    """The fields of all rows that are well-formed."""
+    return registry_records(spark, path, fields, row_tag, ()).where("rejected is null").drop("rejected", "raw")
 
 
 def read_gazetteer_xml(spark: SparkSession, path, row_tag: str = "featureMember", name: str = "name", genitive: str = "genitive") -> DataFrame:
-    """Name, genitive."""
+    """Name, genitive of features with a name; the elements may carry a namespace prefix."""
     schema = T.StructType([T.StructField(name, T.StringType()), T.StructField(genitive, T.StringType())])
-    rows = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
-    return rows.select(F.trim(name).alias("name"), F.trim(genitive).alias("genitive")).where("name <> ''")
+    rows = _xml(spark, path, row_tag, schema)
+    return rows.where(F.col(CORRUPT).isNull()).select(F.trim(name).alias("name"), F.coalesce(F.trim(genitive), F.lit("")).alias("genitive")).where("name <> ''")
+
+
+def read_yearly(spark: SparkSession, path, years: range, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """Name, gender, year, cnt; and the rows that can't be used (``rejected``: name, gender, year or count) with their raw cells.
+
+    The header decides: one column for each of ``years`` (wide), else a year column and a count column (tall). Cells stay texts until they are parsed.
+    """
+    header = [h.strip().strip('"') for h in (spark.read.text(path).first() or [""])[0].split(sep)]
+    table = spark.read.csv(path, sep=sep, header=True, schema=T.StructType([T.StructField(h, T.StringType()) for h in header]))
+    name, gender = find_column(header, ["imie", "name"], unique=False), find_column(header, ["plec", "gender"], unique=False)
+    wide = [h for h in header if h.isdigit() and int(h) in years]
+    if len(set(wide)) == len(years):
+        cells = table.select(F.col(name).alias("raw_name"), F.col(gender).alias("raw_gender"), *wide).unpivot(["raw_name", "raw_gender"], wide, "raw_year", "raw_count")
+    else:
+        year, count = find_column(header, ["rok", "year"], unique=False), find_column(header, ["liczba", "count"], unique=False)
+        cells = table.select(F.col(name).alias("raw_name"), F.col(gender).alias("raw_gender"), F.col(year).alias("raw_year"), F.col(count).alias("raw_count"))
+    rows = cells.select("*", X.canonical_name(F.col("raw_name")).alias("name"), normalize_gender(F.col("raw_gender")).alias("gender"), F.trim("raw_year").try_cast("int").alias("year"), parse_count(F.col("raw_count")).alias("cnt"))
+    why = F.coalesce(*(F.when(F.col(c).isNull(), n) for c, n in (("name", "name"), ("gender", "gender"), ("year", "year"), ("cnt", "count"))))
+    judged = rows.withColumn("rejected", why)
+    good = judged.where(F.col("rejected").isNull() & F.col("year").between(years.start, years.stop - 1)).groupBy("name", "gender", "year").agg(F.sum("cnt").alias("cnt"))
+    return good, judged.where("rejected is not null").select("raw_name", "raw_gender", "raw_year", "raw_count", "rejected")
 
 
 def yearly_wide(df: DataFrame, name: str, gender: str) -> DataFrame:
