@@ -173,7 +173,7 @@ def test_secondary_verdicts(spark):
 
 
 def test_resolver_order(spark):
-    an = [("dom", "dom", "subst:sg:nom:m3", []), ("Dom", "Dom", "subst:sg:nom:m1", ["nazwisko"]), ("nowy", "nowy", "adj:sg:nom:m:pos", ["nazwa_geograficzna"]), ("Anna", "Anna", "subst:sg:nom:f", ["imię"]), ("iść", "iść", "inf:imperf", []), ("ala", "ala", "adv", [])]
+    an = [("dom", "dom", "subst:sg:nom:m3", ["nazwa_pospolita"]), ("Dom", "Dom", "subst:sg:nom:m1", ["nazwisko"]), ("nowy", "nowy", "adj:sg:nom:m:pos", ["nazwa_geograficzna"]), ("Anna", "Anna", "subst:sg:nom:f", ["imię"]), ("iść", "iść", "inf:imperf", []), ("ala", "ala", "adv", [])]
     analyses = spark.createDataFrame(an, "orth string, lemma string, tag string, classes array<string>")
     keys = spark.createDataFrame([(k,) for k in ("dom", "nowy", "anna", "iść", "ala", "expl", "off", "mix", "two", "mod", "modmix", "no")], "key string")
     flags = casing.analysis_flags(keys, analyses)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 COUNTY_KINDS = ("powiat", "miasto na prawach powiatu", "miasto stołeczne, na prawach powiatu")
 COMMUNE_KINDS = ("gmina miejska", "gmina wiejska", "gmina miejsko-wiejska", "miasto stołeczne", "gmina miejska, miasto stołeczne")
 COMMUNE_TYPES = ("1", "2", "3")
+# Marks of gender and stems of such marks.
+FEMALE, FEMALE_STEMS = ("k", "f", "female"), ("kobiet", "zensk")
+MALE, MALE_STEMS = ("m", "male"), ("mezczy", "mesk")
 
 
 def parse_count(x: Column, signed: bool = False) -> Column:
@@ -19,9 +22,10 @@ def parse_count(x: Column, signed: bool = False) -> Column:
 
 
 def normalize_gender(x: Column, hint: str | None = None) -> Column:
-    """F20"""
-    t = F.translate(F.lower(F.trim(x)), "ęż", "ez")
-    return F.coalesce(F.when(t.isin("f", "k", "kobieta", "zenska", "female"), "F").when(t.isin("m", "mezczyzna", "meska", "male"), "M"), F.lit(hint))
+    """by the whole mark, or by a stem of it, without regard to case and marks."""
+    t = F.translate(F.lower(F.trim(x)), "ąćęłńóśźż", "acelnoszz")
+    stem = lambda stems: F.exists(F.array(*map(F.lit, stems)), lambda s: F.contains(t, s))
+    return F.coalesce(F.when(t.isin(*FEMALE) | stem(FEMALE_STEMS), "F").when(t.isin(*MALE) | stem(MALE_STEMS), "M"), F.lit(hint))
 
 
 def classify_level(woj: Column, pow_: Column, gmi: Column, rodz: Column, kind: Column, commune_types: tuple[str, ...] = COMMUNE_TYPES) -> Column:

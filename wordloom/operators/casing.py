@@ -13,6 +13,10 @@ CAPITAL_STATUS = ("SGJP-LMM-CAPITAL",)
 LOWER_STATUS = ("SGJP-LMM-UNCAPITAL", "SGJP-LMM-LOWER", "SGJP-BTH-LOWER")
 PROPER_CLASSES = ("PN", "ACRO", "WEB")
 LEXICAL_CLASSES = ("SPEC", "NEOL", "EXT", "SYMB", "COMPD")
+# The class of common nouns, the parts of speech that names and common nouns have, and the class of family names.
+COMMON_CLASS = "nazwa_pospolita"
+ORDINARY_POS = ("subst", "adj", "adv", "verb", "part", "prep", "conj", "num", "ger", "ppron", "pron")
+SURNAME = "nazwisko"
 DIMENSIONS = {"forms": "form", "lemmas": "lemma", "tags": "tag", "classes": "classification", "sgjp_status": "sgjp_status", "correctness": "correctness", "morphology": "morphology"}
 
 
@@ -104,18 +108,17 @@ def analysis_flags(keys: DataFrame, analyses: DataFrame) -> DataFrame:
     Hyphenated keys aren't analysed.
     """
     probes = keys.select("key").distinct().where(~X.is_hyphenated(F.col("key"))).select("key", F.explode(X.surface_variants(F.col("key"))).alias("orth"))
-    rows = probes.join(analyses, "orth").dropDuplicates(["key", "orth", "lemma", "tag"])
+    rows = probes.join(analyses, "orth").dropDuplicates(["key", "orth", "lemma", "tag", "classes"])
     tag, classes = F.col("tag"), F.coalesce("classes", F.array().cast("array<string>"))
-    proper = F.exists(classes, lambda c: c != "nazwa_pospolita")
-    noun, adjective = X.tag_pos(tag) == "subst", X.tag_pos(tag).isin("adj", "adja", "adjp", "adjc")
-    common = noun & ~proper & (X.starts_lower(F.col("lemma")))
-    sg_nom = X.is_sg_nom_noun(tag)
-    surname = F.array_contains(classes, "nazwisko")
+    names, pos = F.array_remove(classes, COMMON_CLASS), X.tag_pos(tag)
+    ordinary, adjective, sg_nom = pos.isin(*ORDINARY_POS), pos == "adj", X.is_sg_nom_noun(tag)
+    is_common, named = F.array_contains(classes, COMMON_CLASS), F.size(names) > 0
+    proper = ordinary & named & (~adjective | F.array_contains(names, SURNAME))
     any_ = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
     return rows.groupBy("key").agg(
-        any_(common).alias("common_noun"), any_(adjective).alias("adjective"), any_(proper).alias("proper_name"), any_((tag != "ign") & ~proper).alias("lexical"),
-        any_(common & sg_nom).alias("common_nominative"), any_(noun & proper & sg_nom).alias("proper_nominative"), any_(proper & ~surname).alias("proper_other_than_surname"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list(classes)))).alias("proper_classes"),
+        any_(ordinary & is_common).alias("common_noun"), any_(adjective).alias("adjective"), any_(proper).alias("proper_name"), any_(~pos.isin("ign", "interp") & ~named).alias("lexical"),
+        any_(is_common & sg_nom).alias("common_nominative"), any_(named & ~is_common & sg_nom).alias("proper_nominative"), any_(proper & F.exists(names, lambda c: c != SURNAME)).alias("proper_other_than_surname"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.when(proper, names))))).alias("proper_classes"),
     )
 
 
@@ -177,8 +180,9 @@ def class_distribution(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def homonym_audit(selected: DataFrame, analyses: DataFrame) -> DataFrame:
-    """Selected names that also are common nouns. selected: name."""
-    nouns = analyses.where((X.tag_pos(F.col("tag")) == "subst") & (F.size(F.coalesce("classes", F.array().cast("array<string>"))) == 0)).select(F.lower("orth").alias("key")).distinct()
+    """Selected names whose lower-case spelling also is a common noun. selected: name."""
+    common = F.array_contains(F.coalesce("classes", F.array().cast("array<string>")), COMMON_CLASS)
+    nouns = analyses.where((X.tag_pos(F.col("tag")) == "subst") & common & (F.col("orth") == F.lower("orth"))).select(F.col("orth").alias("key")).distinct()
     return selected.withColumn("key", F.lower("name")).join(nouns, "key", "left_semi")
 
 

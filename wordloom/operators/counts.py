@@ -86,12 +86,17 @@ def unigrams(ranked: DataFrame, n: int) -> DataFrame:
     return ranked.orderBy("rank").limit(n)
 
 
-def bigrams(docs: DataFrame, text: str = "text", by: list[str] = ("lang",)) -> DataFrame:
-    """Previous, current, cnt and a weight from 0 to 1000 relative to the commonest."""
+def pair_counts(docs: DataFrame, text: str = "text", by: list[str] = ("lang",)) -> DataFrame:
+    """previous, current, cnt: neighbouring words."""
     n = F.greatest(F.size("w") - 1, F.lit(0))
     pairs = F.arrays_zip(F.slice("w", F.lit(1), n).alias("previous"), F.slice("w", F.lit(2), n).alias("current"))
     # The words are a column of their own, so that a text is split once and not for each mention.
-    counted = docs.select(*by, X.words(F.col(text)).alias("w")).select(*by, F.explode(pairs).alias("p")).groupBy(*by, "p.previous", "p.current").agg(F.count("*").alias("cnt"))
+    return docs.select(*by, X.words(F.col(text)).alias("w")).select(*by, F.explode(pairs).alias("p")).groupBy(*by, "p.previous", "p.current").agg(F.count("*").alias("cnt"))
+
+
+def bigrams(docs: DataFrame, text: str = "text", by: list[str] = ("lang",)) -> DataFrame:
+    """Previous, current, cnt and a weight from 0 to 1000 relative to the commonest."""
+    counted = pair_counts(docs, text, by)
     most = counted.groupBy(*by).agg(F.max("cnt").alias("most"))
     return (counted.join(most, list(by)) if by else counted.crossJoin(most)).withColumn("weight", F.floor(F.lit(1000) * F.col("cnt") / F.col("most")).cast("int")).drop("most")
 

@@ -13,12 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as X
-from wordloom.operators.casing import CAPITAL_STATUS, LEXICAL_CLASSES, LOWER_STATUS, PROPER_CLASSES
-
-# The class of common nouns, the parts of speech that names and common nouns have, and the class of family names.
-COMMON_CLASS = "nazwa_pospolita"
-ORDINARY_POS = ("subst", "adj", "adv", "verb", "part", "prep", "conj", "num", "ger", "ppron", "pron")
-SURNAME = "nazwisko"
+from wordloom.operators.casing import CAPITAL_STATUS, COMMON_CLASS, LEXICAL_CLASSES, LOWER_STATUS, ORDINARY_POS, PROPER_CLASSES, SURNAME
 
 #: A lemma with more than this share of all links is dealt to ``SALTS`` tasks; there are at most 1 / HEAVY of them.
 HEAVY, SALTS = 1 / 200, 32

@@ -62,6 +62,20 @@ def with_evidence(words: DataFrame, sets: dict[str, DataFrame], on: str = "word"
     return words
 
 
+def attach_evidence(words: DataFrame, sets: dict[str, DataFrame], values: dict[str, DataFrame], on: str = "word") -> DataFrame:
+    """J1, J2 for words that occur once each: a boolean column for each evidence set and the value each table of ``values`` gives (of several the largest).
+
+    All tables become one union of tagged rows and meet the words in one shuffle; sets needn't be distinct, as flags are or-ed before it.
+    """
+    parts = [words.select(on, F.struct(*(c for c in words.columns if c != on)).alias("own"))]
+    parts += [s.select(on, F.lit(True).alias(name)) for name, s in sets.items()] + [v.select(on, F.col(name).alias(name)) for name, v in values.items()]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    found = rows.groupBy(on).agg(F.max("own").alias("own"), *(F.coalesce(F.bool_or(n), F.lit(False)).alias(n) for n in sets), *(F.max(n).alias(n) for n in values)).where("own is not null")
+    return found.select(on, "own.*", *sets, *values)
+
+
 def override(rows: DataFrame, policy: DataFrame, key: str = "key") -> DataFrame:
     """An override's surface and policy replace a row's."""
     o = policy.select(key, F.col("surface").alias("o_surface"), F.col("policy").alias("o_policy"))
@@ -71,18 +85,17 @@ def override(rows: DataFrame, policy: DataFrame, key: str = "key") -> DataFrame:
 def typo_pairs(words: DataFrame, targets: DataFrame, indels: bool = False) -> DataFrame:
     """(word, target, kind) one edit apart, through shared single-delete keys.
 
-    Both tables have a column word. Without ``indels`` only words of equal length meet.
+    Both tables have a column word; others come along as ``word_*`` and ``target_*``. Without ``indels`` only words of equal length meet.
     """
     def keyed(df: DataFrame, name: str) -> DataFrame:
         keys = X.single_deletes(F.col("word"))
         if indels:
             keys = F.array_distinct(F.concat(keys, F.array("word")))
-        return df.withColumn("k", F.explode(keys)).select(F.col("word").alias(name), "k")
+        more = [F.col(c).alias(f"{name}_{c}") for c in df.columns if c != "word"]
+        # Words of one length share keys only with each other; short ones, of whom very many share a key, also fill fewer groups so.
+        return df.withColumn("k", F.explode(keys)).select(F.col("word").alias(name), "k", F.lit(0).alias("n") if indels else F.length("word").alias("n"), *more)
 
-    met = keyed(words, "word").join(keyed(targets, "target"), "k").where("word <> target")
-    if not indels:
-        met = met.where(F.length("word") == F.length("target"))
-    met = met.select("word", "target").distinct()
+    met = keyed(words, "word").join(keyed(targets, "target"), ["n", "k"]).where("word <> target").drop("n", "k").distinct()
     return met.withColumn("kind", X.edit1_kind(F.col("word"), F.col("target"))).where("kind is not null")
 
 
@@ -93,9 +106,9 @@ def typo_targets(zipfs: DataFrame, known: DataFrame, cfg: LexiconConfig, indels:
     """
     good = known.select("word").distinct()
     suspects = zipfs.join(good, "word", "left_anti").where((F.length("word") >= 3) & (F.col("zipf") < cfg.own_cap))
-    pairs = typo_pairs(suspects, zipfs.join(good, "word", "left_semi").where(F.length("word") >= 2), indels)
-    pairs = pairs.join(zipfs.select("word", F.col("zipf").alias("z")), "word").join(zipfs.select(F.col("word").alias("target"), F.col("zipf").alias("tz")), "target")
-    pairs = pairs.withColumn("gap", F.round(F.col("tz") - F.col("z"), 6))
+    targets = zipfs.join(good, "word", "left_semi").where(F.length("word") >= (2 if indels else 3))
+    pairs = typo_pairs(suspects.select("word", "zipf"), targets.select("word", "zipf"), indels)
+    pairs = pairs.withColumn("gap", F.round(F.col("target_zipf") - F.col("word_zipf"), 6))
     least = F.lit(None).cast("double")
     for length, gap in reversed(cfg.typo_gaps):
         least = F.when(F.length("word") <= length, F.lit(gap)).otherwise(least)

@@ -53,8 +53,7 @@ def _own(zipfs, lang: str = CFG.language):
 def _ranked(spark, d, zipfs=None, lang: str = CFG.language):
     from wordloom.sources.readers import ranked_vocabulary
 
-    zipfs = _zipfs(spark, d) if zipfs is None else zipfs
-    return ranked_vocabulary(zipfs, lang, cfg=CFG).join(_own(zipfs, lang).select("word", "zipf"), "word")
+    return ranked_vocabulary(_zipfs(spark, d) if zipfs is None else zipfs, lang, cfg=CFG, keep=("zipf",))
 
 
 _RANKED = f"r AS (SELECT row_number() OVER (ORDER BY cnt DESC, word) - 1 AS rank, word, cnt, zipf FROM z WHERE lang = 'fr' AND length(word) BETWEEN 1 AND 25 AND regexp_full_match(word, '{_LETTERS[1:-1]}'))"
@@ -108,10 +107,9 @@ def _cascaded(spark, d, guards: tuple[str, ...] = CFG.guards):
         "blocked": _t(spark, d, "benchmark").select(F.explode(X.words(F.col("text"))).alias("word")).distinct().join(_own(zipfs).where("cnt < 3").select("word"), "word", "left_semi"),
         "guard": spark.createDataFrame([(g,) for g in guards], "word string"),
     }
-    rows = selecting.with_evidence(ranked, sets)
     foreign = selecting.foreign_dominant(zipfs, CFG).select("word", "rival")
     typo = selecting.typo_targets(_own(zipfs).select("word", "zipf"), spell, CFG).select("word", F.col("target").alias("typo_target"))
-    rows = rows.join(foreign, "word", "left").join(typo, "word", "left")
+    rows = selecting.attach_evidence(ranked, sets, {"rival": foreign, "typo_target": typo})
     return settled(selecting.suppress_aliases(selecting.cascade(rows), CFG), "cascade")
 
 
@@ -305,7 +303,10 @@ def source_profile(spark, d):
 
 
 def bigram_topk(spark, d):
-    return counts.top_next(counts.bigrams(_t(spark, d, "documents")), 3)
+    """Ranked by count; the weight of those kept needs each language's largest count, which one of them has."""
+    best = counts.top_next(counts.pair_counts(_t(spark, d, "documents")), 3)
+    most = best.groupBy("lang").agg(F.max("cnt").alias("most"))
+    return best.join(F.broadcast(most), "lang").withColumn("weight", F.floor(F.lit(1000) * F.col("cnt") / F.col("most")).cast("int")).drop("most")
 
 
 def bigram_weights(spark, d):

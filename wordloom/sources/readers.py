@@ -100,14 +100,14 @@ def read_tagged_frequency(spark: SparkSession, path, least_fields: int = 8) -> D
     return out.withColumn("frequency", F.col("frequency").try_cast("long")).where("frequency > 0")
 
 
-def ranked_vocabulary(counts: DataFrame, language: str, top: int | None = None, cfg: LexiconConfig = LexiconConfig()) -> DataFrame:
-    """S9 over corpus counts (lang, word, cnt): all candidates, or the ``top`` ones by count, with their rank from 0."""
+def ranked_vocabulary(counts: DataFrame, language: str, top: int | None = None, cfg: LexiconConfig = LexiconConfig(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """S9 over corpus counts (lang, word, cnt): all candidates, or the ``top`` ones by count, with their rank from 0 and the columns to ``keep``."""
     from wordloom.operators.selecting import number_rows
 
     best = counts.where((F.col("lang") == language) & X.is_candidate(F.col("word"), cfg))
     if top is not None:
         best = best.orderBy(F.desc("cnt"), "word").limit(top)
-    return number_rows(best.select("word", "cnt"), [F.desc("cnt"), "word"], "rank").select(F.col("rank").cast("int").alias("rank"), "word", "cnt")
+    return number_rows(best.select("word", "cnt", *keep), [F.desc("cnt"), "word"], "rank").select(F.col("rank").cast("int").alias("rank"), "word", "cnt", *keep)
 
 
 CORRUPT = "_corrupt_record"
