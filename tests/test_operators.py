@@ -325,3 +325,51 @@ def test_stream_equals_batch(spark, tmp_path):
     docs.repartition(2).write.parquet(str(tmp_path / "d"))
     streams.incremental_word_counts(spark.readStream.schema(docs.schema).parquet(str(tmp_path / "d")), str(tmp_path / "t"), str(tmp_path / "c2")).awaitTermination()
     assert rows(streams.current_counts(spark, str(tmp_path / "t")), "lang", "word", "cnt") == rows(counts.word_counts(docs), "lang", "word", "cnt")
+
+
+def test_long_correction_lists_give_the_same_texts(spark):
+    docs = spark.createDataFrame([(1, "teh  cat\tOT x"), (1, "Teh teh"), (2, ""), (3, None), (None, "ot")], "doc_id long, text string")
+    table = spark.createDataFrame([("teh", "the"), ("teh", "zzz"), ("ot", "to go")], "wrong string, canonical string")
+    key = lambda r: tuple(str(x) for x in r)
+    short, long = (sorted(map(key, counts.apply_corrections(docs, table, mapped=m).collect())) for m in (10, 0))
+    assert short == long and ("1", "the  cat\tto go x", "2") in short and ("1", "the the", "2") in short
+    assert counts.apply_corrections(docs, table.limit(0)).where("n_changed > 0").count() == 0
+
+
+def test_attached_evidence_equals_joined(spark):
+    words = spark.createDataFrame([("a", 1, 0.5), ("b", 2, None), ("c", 3, 1.0)], "word string, rank int, zipf double")
+    sets = {"spell": spark.createDataFrame([("a",), ("a",), ("z",)], "word string"), "keyboard": spark.createDataFrame([("b",)], "word string")}
+    rival = spark.createDataFrame([("c", "de"), ("c", "en"), ("y", "en")], "word string, rival string")
+    got = selecting.attach_evidence(words, sets, {"rival": rival})
+    assert got.columns == ["word", "rank", "zipf", "spell", "keyboard", "rival"]
+    joined = selecting.with_evidence(words, sets)
+    assert rows(got.drop("rival").where("zipf is not null"), *joined.columns) == rows(joined.where("zipf is not null"), *joined.columns)
+    assert rows(got, "word", "rival")[2] == ("c", "en") and got.where("word = 'b' and keyboard and not spell and zipf is null").count() == 1
+
+
+def test_single_tokens_and_genders(spark):
+    names = spark.createDataFrame([("Łódź",), ("Nowy Sącz",), ("a-b",), (None,)], "name string")
+    assert {r["name"]: r["eligible_single_token"] for r in selecting.single_token(names).collect()} == {"Łódź": True, "Nowy Sącz": False, "a-b": False, None: False}
+    a = F.col("a")
+    for mark, want in (("ŻEŃSKA", "F"), ("płeć męska", "M"), ("Kobiety", "F"), ("mężczyźni", "M"), ("female", "F"), ("k", "F"), ("?", None)):
+        assert one(spark, R.normalize_gender(a), a=mark) == want
+
+
+def test_broken_xml_rows_cost_no_others(spark, tmp_path):
+    (tmp_path / "r.xml").write_text('<?xml version="1.0"?><c>\n<row><WOJ>02</WOJ><NAZWA>A</NAZWA><NAZDOD>powiat</NAZDOD></row>\n<row><WOJ>03</NAZWA></row><row WOJ="04" NAZWA="B" NAZDOD="gmina wiejska"/><row><col>05</col><col/><col/><col/><col>C &amp; D</col><col>powiat</col><col>2020</col></row><row><col>06</col><col>short</col></row><row><col name="woj" value="07"/><col name="nazwa">E</col></row></c>')
+    got = {r["woj"]: (r["nazwa"], r["rejected"]) for r in readers.registry_records(spark, str(tmp_path / "r.xml")).collect()}
+    assert got == {"02": ("A", None), "04": ("B", None), "05": ("C & D", None), "07": ("E", "no-nazdod"), None: (None, "no-woj")} or got[None][1] in ("broken-xml", "no-woj")
+    by = {r["rejected"]: r["count"] for r in readers.registry_records(spark, str(tmp_path / "r.xml")).groupBy("rejected").count().collect()}
+    assert by == {None: 3, "broken-xml": 1, "no-woj": 1, "no-nazdod": 1}
+    (tmp_path / "g.xml").write_text("<a><gml:featureMember><gml:name> X </gml:name><gml:genitive>Y</gml:genitive></gml:featureMember><gml:featureMember><gml:name/></gml:featureMember></a>")
+    assert rows(readers.read_gazetteer_xml(spark, str(tmp_path / "g.xml"), "gml:featureMember"), "name", "genitive") == [("X", "Y")]
+
+
+def test_yearly_tables_by_their_header(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("Imię,Płeć,2001,2002\nANNA,K,1 000,2\nANNA,żeńska,,3\nX1,K,1,1\nJAN,?,1,1\nEWA,K,x,4\n")
+    good, bad = readers.read_yearly(spark, str(tmp_path / "w.csv"), range(2001, 2003))
+    assert rows(good, "name", "gender", "year", "cnt") == [("Anna", "F", 2001, 1000), ("Anna", "F", 2002, 5), ("Ewa", "F", 2002, 4)]
+    assert rows(bad.groupBy("rejected").count(), "rejected", "count") == [("count", 1), ("gender", 2), ("name", 2)]
+    (tmp_path / "t.csv").write_text("IMIE,PLEC,Rok,Liczba\nANNA,K,2001,7\nANNA,K,2001,1\nANNA,K,1950,7\nJAN,M,rok,1\n")
+    good, bad = readers.read_yearly(spark, str(tmp_path / "t.csv"), range(2001, 2003))
+    assert rows(good, "name", "year", "cnt") == [("Anna", 2001, 8)] and rows(bad, "raw_year", "rejected") == [("rok", "year")]

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as X
+from wordloom.sources.writers import settled
 from wordloom.sources.readers import corpus_tokens
 
 
@@ -124,12 +125,30 @@ def correction_gate(corrections: DataFrame, accepted: DataFrame) -> DataFrame:
     return bad.unionByName(known).distinct()
 
 
-def apply_corrections(docs: DataFrame, corrections: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The text with corrected words; blanks stay as they are. ``corrections`` is a reviewed list: one map on the driver's side."""
-    table = {r["wrong"]: r["canonical"] for r in corrections.select("wrong", "canonical").collect()}
-    if not table:
-        return docs.select(key, F.col(text).alias("corrected"), F.lit(0).alias("n_changed"))
-    pairs = F.create_map(*(F.lit(x) for kv in table.items() for x in kv))
+#: Corrections that travel as one literal map; more of them are joined.
+MAPPED = 2_000
+
+
+def apply_corrections(docs: DataFrame, corrections: DataFrame, text: str = "text", key: str = "doc_id", mapped: int = MAPPED) -> DataFrame:
+    """The text with corrected words; blanks stay as they are. A wrong word with several targets takes the smallest.
+
+    A reviewed list is short and becomes a map inside one expression. A longer one is joined to the distinct words of the texts, and each text gets a map of
+    its own corrections, so nothing unbounded reaches the driver or one key; rows are told apart by a number of their own, so keys may repeat.
+    """
+    table = corrections.groupBy("wrong").agg(F.min("canonical").alias("canonical"))
+    some = table.limit(mapped + 1).collect()
     tokens = F.split(F.col(text), r"(?<=\s)|(?=\s)")
-    changed = F.transform(tokens, lambda t: F.coalesce(F.try_element_at(pairs, F.lower(t)), t))
-    return docs.select(key, F.array_join(changed, "").alias("corrected"), F.size(F.filter(tokens, lambda t: F.try_element_at(pairs, F.lower(t)).isNotNull())).alias("n_changed"))
+
+    def applied(rows: DataFrame, pairs: Column) -> DataFrame:
+        hit = lambda t: F.try_element_at(pairs, F.lower(t))
+        return rows.select(key, F.array_join(F.transform(tokens, lambda t: F.coalesce(hit(t), t)), "").alias("corrected"), F.size(F.filter(tokens, lambda t: hit(t).isNotNull())).alias("n_changed"))
+
+    if not some:
+        return docs.select(key, F.col(text).alias("corrected"), F.lit(0).alias("n_changed"))
+    if len(some) <= mapped:
+        return applied(docs, F.create_map(*(F.lit(x) for r in some for x in (r["wrong"], r["canonical"]))))
+    rows = settled(docs.select(key, text).withColumn("row", F.monotonically_increasing_id()), "corrected-rows")
+    words = rows.select("row", F.explode(F.array_distinct(F.transform(tokens, F.lower))).alias("wrong"))
+    found = words.join(table, "wrong").groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("wrong", "canonical"))).alias("pairs"))
+    none = F.create_map().cast("map<string,string>")
+    return applied(rows.join(found, "row", "left"), F.coalesce("pairs", none))

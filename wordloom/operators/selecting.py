@@ -49,8 +49,13 @@ def registry_filter(rows: DataFrame, column: str = "rm", value: str = "96") -> D
     return rows.where(F.col(column) == value)
 
 
+def single_token(rows: DataFrame, column: str = "name") -> DataFrame:
+    """``eligible_single_token``: whether the name is one run of letters; every row stays."""
+    return rows.withColumn("eligible_single_token", F.coalesce(F.col(column).rlike(r"^\p{L}+$"), F.lit(False)))
+
+
 def split_rejected(rows: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
-    """P10 (and the flag of P9): accepted and rejected rows."""
+    """P10: accepted and rejected rows."""
     flag = F.coalesce(ok, F.lit(False))
     return rows.where(flag), rows.where(~flag)
 

@@ -185,7 +185,7 @@ _NAMES = r"n AS (SELECT DISTINCT * FROM (" + " UNION ALL ".join(f"SELECT '{k}' A
 
 
 def coverage_status(spark, d):
-    pack = _t(spark, d, "documents").where("lang = 'en'").select(F.explode(X.components(F.col("text"))).alias("surface")).distinct()
+    pack = _t(spark, d, "documents").select(F.explode(X.components(F.col("text"))).alias("surface")).distinct()
     names = _t(spark, d, "conversations").select("role", F.explode(X.components(F.col("text"))).alias("canonical")).distinct().withColumnRenamed("role", "kind")
     return coverage.status_counts(coverage.coverage_status(names, pack))
 
@@ -208,7 +208,7 @@ def case_verdict(spark, d):
 
 
 def module_cost(spark, d):
-    core = _t(spark, d, "documents").where("lang = 'en'").select(F.explode(X.words(F.col("text"))).alias("surface")).distinct()
+    core = _t(spark, d, "documents").select(F.explode(X.words(F.col("text"))).alias("surface")).distinct()
     spoken = _t(spark, d, "conversations").select(F.explode(X.components(F.col("text"))).alias("surface"))
     asked = _t(spark, d, "benchmark").select(F.explode(X.components(F.col("text"))).alias("surface"))
     paged = _t(spark, d, "pages").select(F.explode(X.components(F.col("url"))).alias("surface"))
@@ -274,7 +274,7 @@ def retention_by_level(spark, d):
 
 
 def snapshot_diff(spark, d):
-    docs = _t(spark, d, "documents").where("lang = 'en'")
+    docs = _t(spark, d, "documents")
     def ranks(half: int) -> DataFrame:
         c = docs.where(F.pmod("doc_id", F.lit(2)) == half).select(F.explode(X.words(F.col("text"))).alias("key")).groupBy("key").agg(F.count("*").alias("cnt"))
         return selecting.number_rows(c, [F.desc("cnt"), F.col("key")], "rank").select("key", "rank")
@@ -318,7 +318,7 @@ def _words(spark, d, table: str):
 
 
 def candidate_ranks(spark, d):
-    base = counts.word_counts(_t(spark, d, "documents").where("lang = 'en'")).select("word", "cnt")
+    base = counts.word_counts(_t(spark, d, "documents")).groupBy("word").agg(F.sum("cnt").alias("cnt"))
     return selecting.candidate_ranks(base, [_words(spark, d, "conversations"), _words(spark, d, "benchmark")]).select("rank", "word", "layer")
 
 
@@ -343,8 +343,8 @@ def audit_status(spark, d):
 
 
 def module_seen(spark, d):
-    """How many of the spoken and the asked surfaces the English documents hold."""
-    forms = counts.word_counts(_t(spark, d, "documents").where("lang = 'en'")).select(F.col("word").alias("form"), "cnt")
+    """How many of the spoken and the asked surfaces the documents hold."""
+    forms = counts.word_counts(_t(spark, d, "documents")).groupBy(F.col("word").alias("form")).agg(F.sum("cnt").alias("cnt"))
     surfaces = [_t(spark, d, t).select(F.lit(t).alias("module"), F.explode(X.components(F.col("text"))).alias("surface")).distinct() for t in ("conversations", "benchmark")]
     return counts.seen_summary(counts.seen_counts(surfaces[0].unionByName(surfaces[1]), forms))
 
@@ -358,7 +358,7 @@ def form_weights(spark, d):
 
 
 def prefix_top3(spark, d):
-    entries = _t(spark, d, "documents").where("lang = 'en'").select(F.explode(X.words(F.col("text"))).alias("word")).distinct()
+    entries = _t(spark, d, "documents").select(F.explode(X.words(F.col("text"))).alias("word")).distinct()
     prefixes = _t(spark, d, "benchmark").select(F.explode(X.words(F.col("text"))).alias("w")).select(F.substring("w", 1, 4).alias("prefix")).distinct()
     return counts.prefix_completion(entries, prefixes)
 
@@ -368,7 +368,7 @@ def apply_corrections(spark, d):
 
 
 def correction_gate(spark, d):
-    words = _t(spark, d, "documents").where("lang = 'en'").select(F.explode(X.words(F.col("text"))).alias("word"))
+    words = _t(spark, d, "documents").select(F.explode(X.words(F.col("text"))).alias("word"))
     return counts.correction_gate(spark.createDataFrame(CORRECTIONS, "wrong string, canonical string"), words)
 
 
@@ -393,7 +393,7 @@ def component_surfaces(spark, d):
 
 
 def related_forms(spark, d):
-    words = _t(spark, d, "documents").where("lang in ('fr', 'es')").select(F.explode(X.words(F.col("text"))).alias("word")).distinct()
+    words = _t(spark, d, "documents").select(F.explode(X.words(F.col("text"))).alias("word")).distinct()
     return casing.related_forms(words, CFG).select(F.col("group"), F.array_join("forms", " ").alias("forms"))
 
 
@@ -426,7 +426,7 @@ QUERIES = {
 
 _SELECT = f"WITH {_TOKENS}, {_RANKED}, {_FOREIGN}, {_SPELL}, {_TYPO}, {_CASCADE}"
 _CHOSEN = f"{_SELECT}, {_cut_sql('cut', 'c4', LIMIT, 'gd')}, chosen AS (SELECT rank, word, zipf, CASE WHEN stays THEN 'keep' ELSE 'drop' END AS decision, CASE WHEN kept AND NOT stays THEN 'limit-cut' ELSE why END AS reason FROM cut)"
-_EN = r"en AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents WHERE lang = 'en')"
+_EN = r"en AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents)"
 _FIX = "fix(wrong, canonical) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in CORRECTIONS) + ")"
 _USES = "u AS (SELECT ts, user_id, lower(event_type) AS key, length(event_type) % 2 = 1 OR value > 20 AS up FROM events)"
 
@@ -440,7 +440,7 @@ def _surfaces(table: str) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "bigram_weights": r"WITH w AS (SELECT lang, regexp_extract_all(lower(text), '\p{L}+') AS w FROM documents), p AS (SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: {'previous': w[i], 'current': w[i + 1]}), recursive := true) FROM w), c AS (SELECT lang, previous, current, count(*) AS cnt FROM p GROUP BY ALL) SELECT *, floor(1000 * cnt / max(cnt) OVER (PARTITION BY lang))::int AS weight FROM c",
-    "candidate_ranks": f"WITH {_TOKENS}, u AS (SELECT word, 0 AS layer, cnt FROM c WHERE lang = 'en' UNION ALL SELECT word, 1, 0 FROM ({_spoken('conversations')}) UNION ALL SELECT word, 2, 0 FROM ({_spoken('benchmark')})), m AS (SELECT word, min(layer)::int AS layer, max(cnt) AS cnt FROM u GROUP BY word) SELECT row_number() OVER (ORDER BY layer, cnt DESC, word) - 1 AS rank, word, layer FROM m",
+    "candidate_ranks": f"WITH {_TOKENS}, u AS (SELECT word, 0 AS layer, sum(cnt)::bigint AS cnt FROM c GROUP BY word UNION ALL SELECT word, 1, 0 FROM ({_spoken('conversations')}) UNION ALL SELECT word, 2, 0 FROM ({_spoken('benchmark')})), m AS (SELECT word, min(layer)::int AS layer, max(cnt) AS cnt FROM u GROUP BY word) SELECT row_number() OVER (ORDER BY layer, cnt DESC, word) - 1 AS rank, word, layer FROM m",
     "candidate_gate": f"WITH {_TOKENS}, w AS (SELECT DISTINCT word FROM c), g AS (SELECT length(word) BETWEEN 1 AND 25 AND regexp_full_match(word, '{_LETTERS[1:-1]}') AS ok FROM w) SELECT count(*) FILTER (ok) AS accepted, count(*) FILTER (NOT ok) AS rejected FROM g",
     "vocabulary": f"WITH {_TOKENS} SELECT lang, word, count(*) AS cnt, count(DISTINCT doc_id) >= 2 AS spread FROM t GROUP BY ALL",
     "top_zipf": f"WITH {_TOKENS} SELECT word, zipf FROM z WHERE lang = '{CFG.language}' ORDER BY zipf DESC, word LIMIT 100",
@@ -448,7 +448,7 @@ ORACLE_SQL: dict[str, str] = {
 w AS (SELECT word, max(zipf) FILTER (lang = 'fr') AS own, coalesce(max(zipf) FILTER (lang IN ('en', 'de', 'es')), 0) AS rival FROM z GROUP BY word)
 SELECT word, CASE WHEN word IN (SELECT word FROM b) THEN 'BLOCKED_REGRESSION' WHEN word IN ('de', 'la', 'le') THEN 'SOURCE_EXCLUDED' WHEN word NOT IN (SELECT word FROM k) THEN 'NOT_IN_PREVIEW'
   WHEN rival >= {_FLOOR} AND rival > own + {_LEAD}::double THEN 'IN_PREVIEW_FOREIGN_SIGNAL' WHEN own >= {CFG.common_zipf} THEN 'IN_PREVIEW_COMMON_WORD_SIGNAL' ELSE 'IN_PREVIEW_CLEAN_SIGNAL' END AS audit_status FROM w WHERE own > 0""",
-    "module_seen": f"WITH {_TOKENS}, e AS (SELECT word FROM c WHERE lang = 'en'), m AS (SELECT DISTINCT 'conversations' AS module, {_surfaces('conversations')} UNION ALL SELECT DISTINCT 'benchmark', {_surfaces('benchmark')}) SELECT module, count(*) FILTER (lower(surface) IN (SELECT word FROM e)) AS n_seen, count(*) FILTER (lower(surface) NOT IN (SELECT word FROM e)) AS n_unseen FROM m GROUP BY module",
+    "module_seen": f"WITH {_TOKENS}, e AS (SELECT DISTINCT word FROM c), m AS (SELECT DISTINCT 'conversations' AS module, {_surfaces('conversations')} UNION ALL SELECT DISTINCT 'benchmark', {_surfaces('benchmark')}) SELECT module, count(*) FILTER (lower(surface) IN (SELECT word FROM e)) AS n_seen, count(*) FILTER (lower(surface) NOT IN (SELECT word FROM e)) AS n_unseen FROM m GROUP BY module",
     "form_weights": rf"WITH f AS (SELECT {_surfaces('documents')}) SELECT lower(surface) AS key, count(*) FILTER (regexp_matches(surface, '^\p{{Lu}}')) AS upper, count(*) FILTER (regexp_matches(surface, '^\p{{Ll}}')) AS lower FROM f GROUP BY 1",
     "word_counts": f"WITH {_TOKENS} SELECT * FROM c",
     "word_zipf_rank": f"WITH {_TOKENS}, {_RANKED} SELECT * FROM r",
@@ -461,7 +461,7 @@ SELECT word, CASE WHEN word IN (SELECT word FROM b) THEN 'BLOCKED_REGRESSION' WH
     "evidence_coverage": rf"WITH {_TOKENS}, {_RANKED}, {_SPELL}, kbd AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM conversations), e AS (SELECT word IN (SELECT word FROM s) AS sp, word IN (SELECT word FROM kbd) AS kb, regexp_matches(word, '[{CFG.marked}]') AS mk FROM r) SELECT count(*) AS n, count(*) FILTER (sp) AS n_spell, round(100 * count(*) FILTER (sp) / count(*), 2) AS pct_spell, count(*) FILTER (kb) AS n_keyboard, round(100 * count(*) FILTER (kb) / count(*), 2) AS pct_keyboard, count(*) FILTER (mk) AS n_marked, round(100 * count(*) FILTER (mk) / count(*), 2) AS pct_marked FROM e",
     "accent_index": f"WITH {_TOKENS}, {_RANKED} SELECT translate(word, '{CFG.marked}', '{CFG.unmarked}') AS fold, count(*)::int AS n, string_agg(word, ' ' ORDER BY rank) AS candidates FROM r GROUP BY 1",
     "accent_probe": rf"WITH {_TOKENS}, {_RANKED}, p AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM benchmark), i AS (SELECT translate(word, '{CFG.marked}', '{CFG.unmarked}') AS fold, count(*)::int AS n FROM r GROUP BY 1), q AS (SELECT word, translate(word, '{CFG.marked}', '{CFG.unmarked}') AS fold FROM p) SELECT q.word, q.fold, r.rank, r.rank IS NOT NULL AS listed, coalesce(r.rank < 500, false) AS unigram, coalesce(i.n, 0) AS n_candidates FROM q LEFT JOIN r ON r.word = q.word LEFT JOIN i ON i.fold = q.fold",
-    "coverage_status": r"WITH pack AS (SELECT DISTINCT unnest(regexp_extract_all(regexp_replace(text, '(?i)[''’＇]s\b', '', 'g'), '\p{L}+')) AS s FROM documents WHERE lang = 'en'), n AS (SELECT DISTINCT role AS kind, unnest(regexp_extract_all(regexp_replace(text, '(?i)[''’＇]s\b', '', 'g'), '\p{L}+')) AS canonical FROM conversations) SELECT kind, CASE WHEN canonical IN (SELECT s FROM pack) THEN 'canonical_present' WHEN lower(canonical) IN (SELECT lower(s) FROM pack) THEN 'lowercase_only' ELSE 'missing_from_pack' END AS status, count(*) AS n FROM n GROUP BY ALL",
+    "coverage_status": r"WITH pack AS (SELECT DISTINCT unnest(regexp_extract_all(regexp_replace(text, '(?i)[''’＇]s\b', '', 'g'), '\p{L}+')) AS s FROM documents), n AS (SELECT DISTINCT role AS kind, unnest(regexp_extract_all(regexp_replace(text, '(?i)[''’＇]s\b', '', 'g'), '\p{L}+')) AS canonical FROM conversations) SELECT kind, CASE WHEN canonical IN (SELECT s FROM pack) THEN 'canonical_present' WHEN lower(canonical) IN (SELECT lower(s) FROM pack) THEN 'lowercase_only' ELSE 'missing_from_pack' END AS status, count(*) AS n FROM n GROUP BY ALL",
     "kind_collision": f"WITH {_NAMES} SELECT lower(canonical) AS key, string_agg(DISTINCT kind, ' ' ORDER BY kind) AS kinds FROM n GROUP BY 1 HAVING count(DISTINCT kind) > 1",
     "case_evidence": f"WITH {_OBSERVED} SELECT * FROM ob",
     "case_verdict": f"WITH {_OBSERVED}, v AS (SELECT *, CASE WHEN upper - upper_at_start > lower THEN 'capitalized' WHEN lower > upper - upper_at_start THEN 'lowercase' END AS policy FROM ob) SELECT lang, policy, count(*) AS n, sum(lower)::bigint AS lower_uses, sum(upper)::bigint AS upper_uses FROM v WHERE policy IS NOT NULL GROUP BY ALL",
@@ -477,7 +477,7 @@ a AS (SELECT *, "case" <> 'nom' AND form LIKE 'f1%' AS seen FROM f),
 b AS (SELECT *, bool_or(seen) OVER g AS any_seen, row_number() OVER (PARTITION BY level, code, name, "case" = 'nom' ORDER BY length(form) DESC, CASE "case" WHEN 'gen' THEN 7 WHEN 'loc' THEN 6 ELSE 1 END DESC, form DESC) = 1 AND "case" <> 'nom' AS best, bool_or("case" <> 'nom') OVER g AS other FROM a WINDOW g AS (PARTITION BY level, code, name)),
 k AS (SELECT *, "case" = 'nom' OR level = 'voivodeship' OR (level = 'powiat' AND CASE WHEN any_seen THEN seen ELSE best END) AS kept FROM b)
 SELECT level, code, name, "case", form, kept, CASE WHEN kept THEN CASE WHEN level = 'voivodeship' THEN 'full' WHEN level = 'gmina' THEN 'nominative-only' WHEN any_seen THEN 'nkjp-observed' WHEN other THEN 'weighted-fallback' ELSE 'nominative-only-no-non-nom' END WHEN level = 'gmina' THEN 'excluded-gmina-nominative-only' ELSE 'excluded-powiat-frequency-not-observed' END AS retention FROM k""",
-    "snapshot_diff": r"WITH t AS (SELECT doc_id % 2 AS half, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS key FROM documents WHERE lang = 'en'), c AS (SELECT half, key, count(*) AS cnt FROM t GROUP BY ALL), r AS (SELECT half, key, row_number() OVER (PARTITION BY half ORDER BY cnt DESC, key) - 1 AS rank FROM c), a AS (SELECT key, rank AS old_rank FROM r WHERE half = 0), b AS (SELECT key, rank AS new_rank FROM r WHERE half = 1), d AS (SELECT key, CASE WHEN old_rank IS NULL THEN 'added' WHEN new_rank IS NULL THEN 'removed' WHEN old_rank <> new_rank THEN 'rank_changed' END AS change, old_rank, new_rank FROM a FULL JOIN b USING (key)) SELECT * FROM d WHERE change IS NOT NULL",
+    "snapshot_diff": r"WITH t AS (SELECT doc_id % 2 AS half, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS key FROM documents), c AS (SELECT half, key, count(*) AS cnt FROM t GROUP BY ALL), r AS (SELECT half, key, row_number() OVER (PARTITION BY half ORDER BY cnt DESC, key) - 1 AS rank FROM c), a AS (SELECT key, rank AS old_rank FROM r WHERE half = 0), b AS (SELECT key, rank AS new_rank FROM r WHERE half = 1), d AS (SELECT key, CASE WHEN old_rank IS NULL THEN 'added' WHEN new_rank IS NULL THEN 'removed' WHEN old_rank <> new_rank THEN 'rank_changed' END AS change, old_rank, new_rank FROM a FULL JOIN b USING (key)) SELECT * FROM d WHERE change IS NOT NULL",
     "registry_resolve": rf"WITH {_OBSERVED}, {_NAMES}, seen AS (SELECT key, CASE WHEN upper - upper_at_start > lower THEN 'capitalized' ELSE 'lowercase' END AS policy FROM ob WHERE lang = 'en' AND upper - upper_at_start <> lower), nm AS (SELECT lower(canonical) AS key, min(CASE WHEN regexp_matches(canonical, '^\p{{Lu}}') THEN 0 ELSE 1 END) AS lowp, min(canonical) FILTER (regexp_matches(canonical, '^\p{{Lu}}')) AS cap FROM n WHERE kind IN ('nation', 'part') GROUP BY 1), reg AS (SELECT key, CASE WHEN policy = 'capitalized' THEN upper(key[1]) || key[2:] ELSE key END AS surface, policy FROM seen UNION SELECT key, CASE WHEN lowp = 0 THEN cap ELSE key END, CASE WHEN lowp = 0 THEN 'capitalized' ELSE 'lowercase' END FROM nm), q AS (SELECT key, count(DISTINCT policy) AS np, count(DISTINCT surface) AS ns, min(surface) AS surface, min(policy) AS policy FROM reg GROUP BY key) SELECT key, CASE WHEN np = 1 THEN surface END AS surface, CASE WHEN np = 1 THEN policy END AS policy, CASE WHEN np = 1 THEN 'source' ELSE 'conflict' END AS basis, ns > 1 AS several_surfaces, np > 1 AS conflict FROM q",
     "list_quality": r"WITH t AS (SELECT lang, unnest(regexp_extract_all(regexp_replace(text, '(?i)[''’＇]s\b', '', 'g'), '\p{L}+')) AS s FROM documents) SELECT lang, count(*) AS entries, count(DISTINCT lower(s)) AS unique_keys, count(*) - count(DISTINCT lower(s)) AS duplicates FROM t GROUP BY lang",
     "source_profile": r"WITH l AS (SELECT unnest(string_split(text, chr(10))) AS v FROM documents), x AS (SELECT v, trim(v, ' ') = '' AS e, starts_with(ltrim(v, ' '), '#') AS h, string_split(v, ' ') AS p FROM l), y AS (SELECT *, NOT e AND NOT h AS d, TRY_CAST(p[2] AS bigint) AS n FROM x), q AS (SELECT *, d AND len(p) = 3 AS f FROM y) SELECT count(*) AS lines, count(*) FILTER (e) AS empty_rows, count(*) FILTER (h) AS comment_rows, count(*) FILTER (d) AS data_rows, count(*) FILTER (d AND len(p) <> 3) AS wrong_width, count(*) FILTER (d AND contains(v, '�')) AS not_utf8, count(*) FILTER (f AND n IS NULL) AS not_integer, count(*) FILTER (f AND n IS NULL AND regexp_matches(p[2], '(?i)^(freq|count)')) AS header_like, count(*) FILTER (f AND n <= 0) AS not_positive, coalesce(sum(n) FILTER (f AND n > 0), 0)::bigint AS frequency_sum, count(*) FILTER (d) >= 0 AS enough_rows FROM q",
@@ -488,6 +488,6 @@ SELECT level, code, name, "case", form, kept, CASE WHEN kept THEN CASE WHEN leve
     "case_preference": f"WITH {_USES}, c AS (SELECT user_id, key, count(*) FILTER (NOT up) AS l, count(*) FILTER (up) AS u FROM u GROUP BY ALL) SELECT user_id, key, l AS lowercase_uses, u AS capitalized_uses, CASE WHEN u >= 5 AND u - l >= 2 THEN 'capitalized' ELSE 'lowercase' END AS preferred FROM c",
     "windowed_uses": f"WITH {_USES} SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, key, count(*) AS uses FROM u GROUP BY ALL",
     "component_surfaces": rf"WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), p AS (SELECT *, regexp_extract_all(regexp_replace(line, '(?i)[''’＇]s\b', '', 'g'), '\p{{L}}+') AS c FROM l) SELECT doc_id, len(c)::int AS n, len(c) > 1 AS multi, array_to_string(c, '|') AS parts, translate(lower(line), '{CFG.marked}', '{CFG.unmarked}') AS folded FROM p",
-    "related_forms": rf"""WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM documents WHERE lang IN ('fr', 'es')) SELECT 'fold:' || translate(word, '{CFG.marked}', '{CFG.unmarked}') AS "group", string_agg(word, ' ' ORDER BY word) AS forms FROM w GROUP BY 1 HAVING count(*) > 1""",
+    "related_forms": rf"""WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM documents) SELECT 'fold:' || translate(word, '{CFG.marked}', '{CFG.unmarked}') AS "group", string_agg(word, ' ' ORDER BY word) AS forms FROM w GROUP BY 1 HAVING count(*) > 1""",
     "gate_report": "SELECT 'priority-domain' AS gate, count(*) AS violations FROM orders WHERE o_orderpriority IS NULL OR o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM') UNION ALL SELECT 'unknown-customer', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'segment-conflict', count(*) FROM (SELECT c_nationkey FROM customer GROUP BY 1 HAVING count(DISTINCT c_mktsegment) > 1) UNION ALL SELECT 'duplicate-date', count(*) FROM (SELECT o_custkey, o_orderdate FROM orders GROUP BY ALL HAVING count(*) > 1) UNION ALL SELECT 'nation-count', CASE WHEN count(*) = 25 THEN 0 ELSE 1 END FROM nation",
 }

@@ -170,7 +170,36 @@ def genders(spark, d):
     return rows.groupBy(F.coalesce(R.normalize_gender(F.col("mark")), F.lit("none")).alias("gender")).agg(F.count("*").alias("n"), F.sum(count).alias("total"), F.count_if(count.isNull() | (count < 0)).alias("bad"))
 
 
-QUERIES = {f.__name__: f for f in (component_rows, source_agreement, overridden, merged_modules, variant_entries, common_homonyms, shared_words, module_pairs, triaged, profile_words, assembled, ranking_scores, length_percentiles, file_checks, decisions, reports, genders)}
+LISTS = tuple(n for n, _ in (*selecting.DROP_LISTS, *selecting.KEEP_LISTS))
+
+
+def cascade_lists(spark, d):
+    """C1, C2 with every list in force: each word of both text tables is on some of the lists, or on none."""
+    forms = writers.settled(D.forms(spark, d), "forms")
+    words = forms.groupBy(F.lower("form").alias("word")).agg(F.sum("n").alias("cnt"))
+    sets = {n: words.where(D.digit(f"l{i}", F.col("word")) == 0).select("word") for i, n in enumerate(LISTS)}
+    sets |= {"spell": words.where("cnt >= 2").select("word"), "keyboard": forms.where("source = 'conversations'").select(F.lower("form").alias("word"))}
+    rival = words.where(D.digit("f", F.col("word")) < 2).select("word", F.lit("en").alias("rival"))
+    typo = words.where(D.digit("g", F.col("word")) < 4).select("word", F.concat("word", F.lit("x")).alias("typo_target"))
+    rows = selecting.attach_evidence(words.withColumn("zipf", F.col("cnt").cast("double")), sets, {"rival": rival, "typo_target": typo})
+    return selecting.suppress_aliases(selecting.cascade(rows), WESTERN).select("word", "decision", "reason")
+
+
+def single_tokens(spark, d):
+    """The phrases of both tables, by whether they are one token."""
+    flagged = selecting.single_token(_phrases(spark, d), "surface")
+    good, bad = selecting.split_rejected(flagged, F.col("eligible_single_token"))
+    return good.select("source", "surface", F.lit("accepted").alias("outcome")).unionByName(bad.select("source", "surface", F.lit("rejected").alias("outcome")))
+
+
+def long_corrections(spark, d):
+    """J19 with a list too long for a map: every word of the benchmark that begins with a vowel is corrected."""
+    wrong = _t(spark, d, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("wrong")).where("wrong rlike '^[aeiou]'").distinct()
+    out = counts.apply_corrections(_t(spark, d, "conversations"), wrong.withColumn("canonical", F.concat("wrong", F.lit("*"))), key="conv_id", mapped=0)
+    return out.select("conv_id", F.md5(F.col("corrected").cast("binary")).alias("corrected_md5"), "n_changed")
+
+
+QUERIES = {f.__name__: f for f in (cascade_lists, single_tokens, long_corrections, component_rows, source_agreement, overridden, merged_modules, variant_entries, common_homonyms, shared_words, module_pairs, triaged, profile_words, assembled, ranking_scores, length_percentiles, file_checks, decisions, reports, genders)}
 
 _P = r"regexp_extract_all(regexp_replace({c}, '(?i)[''’＇]s\b', '', 'g'), '\p{{L}}+')"
 _PARTS = _P.format(c="surface")
@@ -186,7 +215,22 @@ def _spelled_sql(name: str, table: str) -> str:
 
 
 _POL = f"{D.FORMS_SQL}, {D.policies_sql('po', 'v', (4,))}"
+_FLAGS = ", ".join(f"{D._digit(f'l{i}', 'word')} = 0 AS f{i}" for i in range(len(LISTS)))
+_REASONS = " ".join(f"WHEN f{i} THEN '{r}'" for i, (_, r) in enumerate((*selecting.DROP_LISTS, *selecting.KEEP_LISTS)))
+_EXEMPT = " OR ".join(f"f{LISTS.index(n)}" for n in selecting.ALIAS_EXEMPT)
+_BLANK = " \\t\\n\\x0B\\f\\r"
 ORACLE_SQL: dict[str, str] = {
+    "cascade_lists": f"""WITH {D.FORMS_SQL}, w AS (SELECT lower(form) AS word, sum(n)::bigint AS cnt, bool_or(source = 'conversations') AS kb FROM fo GROUP BY 1),
+e AS (SELECT *, cnt >= 2 AS sp, {D._digit('f', 'word')} < 2 AS rv, {D._digit('g', 'word')} < 4 AS ty, {_FLAGS} FROM w),
+c AS (SELECT *, CASE {_REASONS} WHEN rv THEN 'foreign:en' WHEN NOT regexp_matches(word, '[^\\x00-\\x7F]') AND NOT (sp AND kb) THEN 'ascii-without-dual-evidence' WHEN NOT (sp OR kb) AND ty THEN 'typo->' || word || 'x' WHEN NOT (sp OR kb) THEN 'no-positive-evidence' ELSE 'spell-evidence' END AS why FROM e),
+k AS (SELECT *, NOT (f0 OR f1 OR f2) AND ({' OR '.join(f'f{i}' for i in range(3, len(LISTS)))} OR why = 'spell-evidence') AS kept, translate(word, '{WESTERN.marked}', '{WESTERN.unmarked}') AS fold, regexp_matches(word, '[{WESTERN.marked}]') AS marked FROM c),
+a AS (SELECT fold, arg_min(word, (-cnt, word)) AS accented, arg_min(sp OR kb, (-cnt, word)) AS pos FROM k WHERE kept AND marked GROUP BY fold),
+h AS (SELECT k.*, accented, kept AND NOT marked AND NOT (sp OR kb OR {_EXEMPT}) AND coalesce(pos, false) AS hit FROM k LEFT JOIN a USING (fold))
+SELECT word, CASE WHEN kept AND NOT hit THEN 'keep' ELSE 'drop' END AS decision, CASE WHEN hit THEN 'diacritic-alias->' || accented ELSE why END AS reason FROM h""",
+    "single_tokens": f"WITH {_PHRASES} SELECT source, surface, CASE WHEN regexp_full_match(surface, '\\p{{L}}+') THEN 'accepted' ELSE 'rejected' END AS outcome FROM ph",
+    "long_corrections": f"""WITH b AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS w FROM benchmark), x AS (SELECT w FROM b WHERE regexp_matches(w, '^[aeiou]')), m AS (SELECT list(w) AS l FROM x),
+t AS (SELECT conv_id, turn, regexp_extract_all(text, '[^{_BLANK}]+|[{_BLANK}]') AS p FROM conversations)
+SELECT conv_id, md5(array_to_string(list_transform(p, lambda v: CASE WHEN list_contains(l, lower(v)) THEN lower(v) || '*' ELSE v END), '')) AS corrected_md5, len(list_filter(p, lambda v: list_contains(l, lower(v))))::int AS n_changed FROM t, m""",
     "component_rows": f"WITH {_PHRASES} SELECT * FROM cr",
     "source_agreement": f"WITH {_PHRASES} SELECT key, string_agg(DISTINCT policy, ' ' ORDER BY policy) AS policies, string_agg(DISTINCT source, ' ' ORDER BY source) AS sources, count(DISTINCT policy) > 1 AS disagreement FROM cr GROUP BY key",
     "overridden": rf"WITH {_POL}, {_spelled_sql('sp', 'documents')}, x AS (SELECT sp.key, coalesce(po.surface, sp.surface) AS surface, coalesce(po.policy, CASE WHEN regexp_matches(sp.surface, '^\p{{Lu}}') THEN 'capitalized' ELSE 'lowercase' END) AS policy FROM sp LEFT JOIN po ON po.key = sp.key) SELECT *, CASE WHEN policy = 'lowercase' THEN lower(key) ELSE {D._upper_first('key')} END AS applied FROM x",
