@@ -1,6 +1,7 @@
 """Corpus cleaning in stages: quality, near-duplicates, repeated passages, benchmark leaks, packing.
 
-Each stage takes all rows its predecessor kept and decides row by row: ids may repeat or be null. ``run`` stages every result as a Parquet table in the
+Each stage takes all rows its predecessor kept and decides row by row: ids may repeat or be null. Null and empty texts have no words and go in the first stage;
+very long texts pass whole; of ties (copies with one id) the first row stays; an empty table gives an empty result; extra columns of any name are passed on to packing. ``run`` stages every result as a Parquet table in the
 shared folder and rereads it, so an executor's loss costs no earlier stage.
 """
 

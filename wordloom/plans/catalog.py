@@ -263,12 +263,13 @@ def unpivot_roundtrip(spark, d):
 
 
 def retention_by_level(spark, d):
-    """Orders as forms: the priority stands for the level, the status for the case, the day's orders for corpus counts."""
+    """Orders as forms of their customers: the priority stands for the level; forms of finished orders are those the corpus has."""
     o = _t(spark, d, "orders")
     level = F.when(F.col("o_orderpriority") < "2", "voivodeship").when(F.col("o_orderpriority") < "4", "powiat").otherwise("gmina")
     case = F.element_at(F.array(*map(F.lit, ("nom", "gen", "loc"))), (F.pmod("o_orderkey", F.lit(3)) + 1).cast("int"))
-    forms = o.select(level.alias("level"), F.pmod("o_custkey", F.lit(50)).cast("string").alias("code"), F.lit("unit").alias("name"), case.alias("case"), F.concat(F.lit("f"), F.pmod("o_custkey", F.lit(97)).cast("string")).alias("form")).distinct()
-    seen = forms.select(F.lower("form").alias("word")).distinct().where("word like 'f1%'").withColumn("cnt", F.lit(1))
+    form = F.concat(F.lit("f"), F.pmod("o_orderkey", F.lit(9973)).cast("string"))
+    forms = o.select(level.alias("level"), F.col("o_custkey").cast("string").alias("code"), F.lit("unit").alias("name"), case.alias("case"), form.alias("form")).distinct()
+    seen = o.where("o_orderstatus = 'F'").groupBy(F.lower(form).alias("word")).agg(F.count("*").alias("cnt"))
     zipfs = forms.select(F.lower("form").alias("word")).distinct().withColumn("zipf", F.length("word").cast("double"))
     return selecting.retain_by_level(forms, seen, zipfs)
 
@@ -472,8 +473,8 @@ SELECT word, CASE WHEN word IN (SELECT word FROM b) THEN 'BLOCKED_REGRESSION' WH
     "history_core": f"WITH {_SALES} SELECT grp, name, cumulative_rank, CASE WHEN cumulative_rank <= 5 THEN 'core' ELSE 'buffer' END AS band FROM hr WHERE cumulative_rank <= 8",
     "history_thresholds": f"WITH {_SALES}, l AS (SELECT grp, unnest([3, 10, 100]) AS n, max(cumulative_rank) AS size FROM hr GROUP BY grp) SELECT l.grp, n, least(n, size)::bigint AS cumulative_rank, name, cumulative_count FROM l JOIN hr ON hr.grp = l.grp AND hr.cumulative_rank = least(n, size)",
     "unpivot_roundtrip": "SELECT o_orderpriority AS name, year(o_orderdate)::int AS year, count(*) AS cnt FROM orders GROUP BY ALL",
-    "retention_by_level": """WITH f AS (SELECT DISTINCT CASE WHEN o_orderpriority < '2' THEN 'voivodeship' WHEN o_orderpriority < '4' THEN 'powiat' ELSE 'gmina' END AS level, (o_custkey % 50)::varchar AS code, 'unit' AS name, ['nom', 'gen', 'loc'][o_orderkey % 3 + 1] AS "case", 'f' || (o_custkey % 97)::varchar AS form FROM orders),
-a AS (SELECT *, "case" <> 'nom' AND form LIKE 'f1%' AS seen FROM f),
+    "retention_by_level": """WITH f AS (SELECT DISTINCT CASE WHEN o_orderpriority < '2' THEN 'voivodeship' WHEN o_orderpriority < '4' THEN 'powiat' ELSE 'gmina' END AS level, o_custkey::varchar AS code, 'unit' AS name, ['nom', 'gen', 'loc'][o_orderkey % 3 + 1] AS "case", 'f' || (o_orderkey % 9973)::varchar AS form FROM orders),
+a AS (SELECT *, "case" <> 'nom' AND form IN (SELECT 'f' || (o_orderkey % 9973)::varchar FROM orders WHERE o_orderstatus = 'F') AS seen FROM f),
 b AS (SELECT *, bool_or(seen) OVER g AS any_seen, row_number() OVER (PARTITION BY level, code, name, "case" = 'nom' ORDER BY length(form) DESC, CASE "case" WHEN 'gen' THEN 7 WHEN 'loc' THEN 6 ELSE 1 END DESC, form DESC) = 1 AND "case" <> 'nom' AS best, bool_or("case" <> 'nom') OVER g AS other FROM a WINDOW g AS (PARTITION BY level, code, name)),
 k AS (SELECT *, "case" = 'nom' OR level = 'voivodeship' OR (level = 'powiat' AND CASE WHEN any_seen THEN seen ELSE best END) AS kept FROM b)
 SELECT level, code, name, "case", form, kept, CASE WHEN kept THEN CASE WHEN level = 'voivodeship' THEN 'full' WHEN level = 'gmina' THEN 'nominative-only' WHEN any_seen THEN 'nkjp-observed' WHEN other THEN 'weighted-fallback' ELSE 'nominative-only-no-non-nom' END WHEN level = 'gmina' THEN 'excluded-gmina-nominative-only' ELSE 'excluded-powiat-frequency-not-observed' END AS retention FROM k""",

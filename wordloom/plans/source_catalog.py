@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wordloom.config import WESTERN
 from wordloom.functions import records as R
 from wordloom.functions import text as X
-from wordloom.operators import selecting
+from wordloom.operators import coverage, gates, profiles, selecting
 from wordloom.plans import derived as D
 from wordloom.plans.catalog import _t
 from wordloom.sources import readers, writers
@@ -142,7 +142,67 @@ def families_source(spark, d):
     return readers.read_families(spark, path).join(sizes, "family", "left")
 
 
-QUERIES = {f.__name__: f for f in (registry_units, gazetteer_names, yearly_wide_source, yearly_tall_source, tagged_source, core_source, keyboard_source, families_source)}
+def profiles_source(spark, d):
+    """A profile for each nation on top of its region's, written as a JSON file, which is one text, and resolved."""
+    path = _scratch(spark, "profiles")
+    region = _t(spark, d, "region").select(F.col("r_name").alias("name"), F.lit(None).cast("string").alias("base"), F.array(F.lit("core"), F.lower("r_name")).alias("modules"), F.create_map(F.lit("core"), F.col("r_regionkey").cast("double")).alias("priority"))
+    n, r = _t(spark, d, "nation"), _t(spark, d, "region")
+    nation = n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_name").alias("name"), F.col("r_name").alias("base"), F.array(F.lower("n_name"), F.lit("core")).alias("modules"), F.create_map(F.when(F.col("n_nationkey") % 2 == 0, "core").otherwise(F.lower("n_name")), F.col("n_nationkey").cast("double")).alias("priority"))
+    region.unionByName(nation).agg(F.to_json(F.collect_list(F.struct("name", "base", "modules", "priority"))).alias("value")).write.text(path)
+    out = profiles.resolve_profiles(readers.read_profiles(spark, path))
+    return out.select("name", "depth", F.array_join("modules", " ").alias("modules"), F.try_element_at("priority", F.lit("core")).alias("core"), F.size("priority").alias("priorities"))
+
+
+def snapshot_source(spark, d):
+    """Two rankings of the documents' words, kept as CSV and as Parquet, compared."""
+    words = _t(spark, d, "documents").select("doc_id", F.explode(X.words(F.col("text"))).alias("key"))
+    ranked = lambda rows: selecting.number_rows(rows.groupBy("key").agg(F.count("*").alias("cnt")), [F.desc("cnt"), F.col("key")], "rank").select("key", F.col("rank").cast("int").alias("rank"))
+    old, new = _scratch(spark, "snapshot-old"), _scratch(spark, "snapshot-new")
+    ranked(words).write.csv(old)
+    ranked(words.where(F.length("key") > 3)).write.parquet(new)
+    return coverage.snapshot_diff(readers.read_snapshot(spark, old, "csv"), readers.read_snapshot(spark, new)).select("key", "change", "old_rank", "new_rank")
+
+
+def population_source(spark, d):
+    """customers' balances as populations, with the rows that can't be used."""
+    path = _scratch(spark, "population")
+    _t(spark, d, "customer").select(F.when(F.col("c_custkey") % 10 == 0, "No 1").otherwise(F.col("c_mktsegment")).alias("name"), F.when(F.col("c_custkey") % 13 == 0, "many").otherwise(F.format_number("c_acctbal", 0)).alias("n")).write.csv(path, header=True)
+    good, bad = readers.population_counts(spark.read.csv(path, header=True, schema="name string, n string"), "name", "n")
+    return good.unionByName(bad.groupBy(F.when(F.col("population").isNull(), "unreadable").otherwise("negative").alias("name")).agg(F.count("*").alias("population")))
+
+
+def tsv_source(spark, d):
+    """S3, K2: the benchmark's words as a checked table."""
+    path = _scratch(spark, "tsv")
+    words = _t(spark, d, "benchmark").select("item_id", F.explode(X.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("uses"), F.min("item_id").alias("first"))
+    writers.write_tsv(words, path, ["word", "uses", "first"], ["word"])
+    return readers.read_tsv(spark, path, ["word", "uses", "first"])
+
+
+def corrections_source(spark, d):
+    """reviewed corrections as lines, some of them not well-formed."""
+    w = F.slice(F.split("text", " "), 1, 2)
+    line = _t(spark, d, "conversations").select(F.concat(F.lit(" "), F.array_join(w, " -> ")).alias("a"), (F.col("turn") % 3).alias("t"))
+    line = line.select(F.when(F.col("t") == 1, F.replace("a", F.lit(" -> "), F.lit("->"))).when(F.col("t") == 2, F.replace("a", F.lit(" -> "), F.lit(" "))).otherwise(F.col("a")).alias("line"))
+    p = R.parse_correction(F.col("line"))
+    return line.select(p["wrong"].alias("wrong"), p["canonical"].alias("canonical")).groupBy("wrong", "canonical").agg(F.count("*").alias("n"))
+
+
+def inflection_surfaces(spark, d):
+    """the phrases of benchmark and conversations by the shape of their surface."""
+    text = F.explode(F.split("text", r"[.\n]")).alias("x")
+    rows = _t(spark, d, "benchmark").select(text).unionByName(_t(spark, d, "conversations").select(text)).select(F.trim("x").alias("surface")).where("surface <> ''")
+    rows = rows.unionByName(rows.select(F.replace("surface", F.lit(" "), F.lit("-")).alias("surface"))).distinct()
+    return rows.select("surface", X.is_inflection_surface(F.col("surface")).alias("inflection"), X.is_hyphenated(F.col("surface")).alias("hyphenated"))
+
+
+def evidence_overlap(spark, d):
+    """The union of two evidence sets and its overlap with a third."""
+    words = lambda t: _t(spark, d, t).select(F.explode(X.words(F.col("text"))).alias("word"))
+    return gates.overlap(gates.evidence_union(words("benchmark"), words("conversations")), words("documents"))
+
+
+QUERIES = {f.__name__: f for f in (profiles_source, snapshot_source, population_source, tsv_source, corrections_source, inflection_surfaces, evidence_overlap, registry_units, gazetteer_names, yearly_wide_source, yearly_tall_source, tagged_source, core_source, keyboard_source, families_source)}
 
 _KIND_LIST = "[" + ", ".join(f"'{k}'" for k in _KINDS) + "]"
 _SOLD = """so AS (SELECT c_mktsegment || CASE WHEN c_nationkey = 3 THEN '7' ELSE '' END AS name, ['F', 'M', NULL][least(c_nationkey % 9, 2) + 1] AS gender, year(o_orderdate)::int AS year, count(*) AS cnt FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"""
@@ -156,7 +216,20 @@ SELECT {_NAMED} AS name, gender, year, cnt, NULL AS rejected FROM ju WHERE rejec
 
 _SURFACES = r"SELECT DISTINCT unnest(regexp_extract_all(regexp_replace(text, '(?i)[''’＇]s\b', '', 'g'), '\p{L}+')) AS s FROM documents"
 _LETTERS = f"[{WESTERN.alphabet}]+"
+_LINES = "SELECT unnest(regexp_split_to_array(text, '[.\\n]')) AS x FROM"
+_WORDS = "SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS w FROM"
 ORACLE_SQL: dict[str, str] = {
+    "profiles_source": """SELECT r_name AS name, 0 AS depth, 'core ' || lower(r_name) AS modules, r_regionkey::double AS core, 1 AS priorities FROM region
+UNION ALL SELECT n_name, 1, 'core ' || lower(r_name) || ' ' || lower(n_name), CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey ELSE r_regionkey END::double, CASE WHEN n_nationkey % 2 = 0 THEN 1 ELSE 2 END FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "snapshot_source": r"""WITH c AS (SELECT key, count(*) AS cnt FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS key FROM documents) GROUP BY key), a AS (SELECT key, (row_number() OVER (ORDER BY cnt DESC, key) - 1)::int AS old_rank FROM c), b AS (SELECT key, (row_number() OVER (ORDER BY cnt DESC, key) - 1)::int AS new_rank FROM c WHERE length(key) > 3),
+d AS (SELECT key, CASE WHEN new_rank IS NULL THEN 'removed' WHEN old_rank <> new_rank THEN 'rank_changed' END AS change, old_rank, new_rank FROM a LEFT JOIN b USING (key)) SELECT * FROM d WHERE change IS NOT NULL""",
+    "population_source": """WITH r AS (SELECT CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) END AS name, CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE round_even(c_acctbal, 0)::bigint END AS n FROM customer)
+SELECT name, sum(n)::bigint AS population FROM r WHERE n >= 0 GROUP BY name UNION ALL SELECT CASE WHEN n IS NULL THEN 'unreadable' ELSE 'negative' END, count(*) FROM r WHERE n IS NULL OR n < 0 GROUP BY 1""",
+    "tsv_source": r"SELECT word, count(*)::varchar AS uses, min(item_id)::varchar AS first FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM benchmark) GROUP BY word",
+    "corrections_source": """WITH w AS (SELECT turn, string_split(text, ' ')[1:2] AS w FROM conversations), p AS (SELECT CASE WHEN turn % 3 < 2 AND len(w) = 2 THEN w[1] END AS wrong, CASE WHEN turn % 3 < 2 AND len(w) = 2 THEN w[2] END AS canonical FROM w) SELECT *, count(*) AS n FROM p GROUP BY ALL""",
+    "inflection_surfaces": rf"""WITH l AS (SELECT trim(x, ' ') AS s FROM ({_LINES} benchmark UNION ALL {_LINES} conversations)), u AS (SELECT s AS surface FROM l WHERE s <> '' UNION SELECT replace(s, ' ', '-') FROM l WHERE s <> '')
+SELECT surface, regexp_full_match(surface, '\p{{L}}+') OR regexp_full_match(surface, '\p{{L}}+(?: \p{{L}}+)*(?:[-‐‑]\p{{L}}+(?: \p{{L}}+)*)+') AS inflection, regexp_matches(surface, '[-‐‑]') AND len(list_filter(regexp_split_to_array(surface, '[-‐‑]'), lambda p: trim(p, ' ') <> '')) > 1 AS hyphenated FROM u""",
+    "evidence_overlap": f"WITH a AS ({_WORDS} benchmark UNION {_WORDS} conversations), b AS ({_WORDS} documents) SELECT (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM b) AS n_b, (SELECT count(*) FROM a SEMI JOIN b USING (w)) AS n_both, (SELECT count(*) FROM a ANTI JOIN b USING (w)) AS only_a, (SELECT count(*) FROM b ANTI JOIN a USING (w)) AS only_b",
     "registry_units": f"""WITH u AS (SELECT c_custkey AS k, c_custkey % 7 AS t, lpad(c_nationkey::varchar, 2, '0') AS woj, lpad((c_custkey % 40 + 1)::varchar, 2, '0') AS pow, lpad((c_custkey % 90 + 1)::varchar, 2, '0') AS gmi, c_custkey % 4 + 1 AS rodz,
   CASE WHEN c_custkey % 11 = 0 THEN '' ELSE upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) END AS nazwa, {_KIND_LIST}[c_custkey % 7 + 1] AS kind FROM customer),
 v AS (SELECT *, CASE WHEN k % 9 % 5 = 4 THEN 'broken-xml' WHEN nazwa = '' THEN 'no-nazwa' WHEN kind = '' THEN 'no-nazdod' WHEN t = 0 OR t IN (1, 2) THEN 'unit' WHEN t IN (3, 4) AND rodz <= 3 THEN 'unit' ELSE 'lower-level' END AS outcome FROM u),
