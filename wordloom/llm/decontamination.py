@@ -14,7 +14,8 @@ The benchmark's hashes are broadcast as a filter only while there are at most ``
 beyond that all windows go through the join. Either way the join and the counts are Spark's.
 
 Rows: null or empty texts and items have no windows; an item shorter than a window is one window of its whole
-length if it is three tokens or more, and else isn't searched; repeated rows and ties count once; empty tables give an empty result; other columns are ignored.
+length if it is three tokens or more, and else isn't searched; repeated rows and ties count once; very long texts are read whole; empty tables give an empty result; other columns are ignored, and passed on by
+``clean``, whatever their names.
 """
 
 from __future__ import annotations

@@ -6,8 +6,9 @@ The totals of the partitions (one row for each task) give every partition its pl
 the global stream by a prefix sum. The second pass reads the ids, adds the two
 offsets and cuts each document at window borders. Nothing is shuffled but the totals.
 
-Rows: a null or empty text is its end id alone. Repeated rows are packed once each.
-An empty table gives an empty result. Other columns are ignored.
+Rows: a null or empty text is its end id alone. Repeated rows, and rows with one id or none, are packed once each, in the order of the input's rows, which
+is also the order of ties. Very long texts are encoded whole and cut over as many windows as they fill; a run of ``BLANKS`` white-space characters or more sends
+its text to the slower library, with the same ids. An empty table gives an empty result. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,10 +10,11 @@ good rows" must not exceed ``delta`` over the number of strata. The sequence sto
 test that fails (fixed-sequence testing needs no further correction inside a stratum; Bonferroni
 covers the strata). So with probability 1 - delta no stratum loses over alpha of its good rows.
 
-Rows: null text counts as no words; null strata form one stratum of their own; labels that are null
-or belong to no document are left out; of several labels of a document the lowest counts; repeated
-documents are judged once each; an empty document or label table gives no cutoffs, so only the
-base rule decides. A stratum with too few labelled rows gets no cutoffs.
+Rows: null text counts as no words; null strata form one stratum of their own, apart from empty ones; labels that are null
+or belong to no document are left out; of several labels of a document the lowest counts, and a text with several documents
+counts once, as good if one of them is; repeated documents, ids and null ids are judged row by row; rules with equal gain go by their order; very long
+texts are counted whole; an empty document or label table gives no cutoffs, so only the base rule decides. A stratum with too few labelled rows gets
+no cutoffs. ``judge`` ignores other columns, ``keep`` passes them on; names used inside are drawn so that they meet none of them.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ one, and deals whole blocks to the flow's arcs. Two broadcast joins with the bou
 then place each document; slots count up inside a block from the block's own start.
 
 Rows: null text counts as empty; repeated rows keep a slot each; an empty table gives an
-empty result; other columns are ignored by ``plan`` and kept by ``rewrite``.
+empty result; blocks of equal size go by their number, rows of one block by id, then text; very long texts are placed whole; other columns are ignored by
+``plan`` and kept by ``rewrite``, whatever their names.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ stands on fingerprint bits, and groups above ``SET_BYTES`` are split into pairs
 expected recall at a similarity of 0.8 is 0.98 (0.95 beyond 2^24 texts, where parts are wider and probed one bit further), at 0.85 above 0.99.
 
 Rows: a null, empty or blank text has fingerprint 0 and links like any other; repeated rows
-keep a row each; an empty table gives an empty result; other columns are ignored.
+keep a row each, and of rows with one id the smallest row number stands for a tie; very long texts are read whole; an empty table gives an empty result;
+other columns are ignored, and passed on by ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ Base: counts of words with a relative frequency of ``head`` or more (1 / head wo
 other words go through a join.
 
 Rows: null text is the end alone; repeated rows keep a row each; an empty table gives an
-empty result; without training documents all counts are zero; other columns are ignored.
+empty result; without training documents all counts are zero; ties don't arise, as a token has one longest state; very long texts are scored whole; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ longest path, then block before allow.
 
 Only distinct (host, path) pairs are swept; the verdicts are joined back to the rows, so a hot address
 costs one sweep. Rows: a null url or one without ``://`` has an empty host and path and meets
-no rule; repeated rows and ties get the same verdict; empty tables give empty results or no rule.
+no rule; repeated rows and ties get the same verdict; very long addresses are read whole; empty tables give empty results or no rule; other columns are ignored.
 """
 
 from __future__ import annotations

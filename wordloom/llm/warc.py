@@ -5,7 +5,8 @@ record carries the response's HTTP headers and digests, the conversion record th
 own digests. Record ids of derivatives follow from the response's id and the type, so a rerun gives the same ones.
 
 Rows: records of other types are left out; a null payload counts as empty; a record without an id gives derivatives whose ids follow from its payload; a payload without an HTTP head
-is all body; repeated rows are derived once each; an empty table gives an empty result; other columns are ignored.
+is all body; repeated rows, and ties of ids, are derived once each; very long payloads are read whole; an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
