@@ -66,7 +66,7 @@ def fresh(columns: list[str], name: str) -> str:
 def keyed(df: DataFrame) -> tuple[DataFrame, str]:
     """``df`` staged with a number of its own for each row, as ids may repeat or be null; and that column's name."""
     row = fresh(df.columns, "row_number")
-    return staged(df.withColumn(row, F.monotonically_increasing_id()), "keyed"), row
+    return staged(df.withColumn(row, F.monotonically_increasing_id()), "keyed", "zstd"), row
 
 
 def utf8(text: str | None) -> bytes:
