@@ -110,6 +110,16 @@ def test_cascade_order_and_cut(spark):
         selecting.capacity_cut(kept, 0, F.col("shield"))
 
 
+def test_protected_words_beyond_the_limit_displace_all_others(spark):
+    data = [("a", 0, False, False), ("b", 1, True, True), ("c", 2, True, True), ("d", 3, False, True), ("e", 4, False, False), ("f", 5, True, False)]
+    kept = spark.createDataFrame(data, "word string, rank int, added boolean, shield boolean").selectExpr("*", "'keep' decision", "'x' reason", "1.0D zipf")
+    lost = selecting.displaced(kept, 2, F.col("added"), F.col("shield"), F.lit(False))
+    assert rows(lost, "word") == [("a",)]  # three protected words, room for two: without the added ones a and d stay
+    assert rows(selecting.displaced(kept, 3, F.col("added"), F.col("shield"), F.lit(False)), "word") == [("a",), ("e",)]
+    full = selecting.capacity_cut(kept, 2, F.col("shield"), overfull=True)
+    assert rows(full.where("decision = 'keep'"), "word") == [("b",), ("c",), ("d",)]
+
+
 def test_alias_foreign_and_typo(spark):
     df = spark.createDataFrame([("ete", "keep", "x", 5.0, False, False), ("été", "keep", "x", 4.0, True, False), ("etê", "keep", "x", 4.5, False, False), ("pre", "keep", "x", 5.0, True, False), ("pré", "keep", "x", 4.0, True, False)], "word string, decision string, reason string, zipf double, spell boolean, keyboard boolean")
     got = {r["word"]: r["reason"] for r in selecting.suppress_aliases(df, WESTERN).collect()}

@@ -176,8 +176,8 @@ def suppress_aliases(rows: DataFrame, cfg: LexiconConfig) -> DataFrame:
     return out.drop("fold", "accented", "accented_positive")
 
 
-def capacity_cut(rows: DataFrame, limit: int, protected: Column) -> DataFrame:
-    """Protected words stay; the rest fill what is left by (rank, -zipf, word). Aborts if the protected don't fit.
+def capacity_cut(rows: DataFrame, limit: int, protected: Column, overfull: bool = False) -> DataFrame:
+    """Protected words stay; the rest fill what is left by (rank, -zipf, word). Aborts if the protected don't fit; if ``overfull``, they stay alone instead.
 
     The cut is one ordered limit (a top-k in each task) and one join; no global window.
     """
@@ -186,18 +186,18 @@ def capacity_cut(rows: DataFrame, limit: int, protected: Column) -> DataFrame:
     n = kept.agg(F.count_if(shield).alias("p"), F.count("*").alias("n")).first()
     if n["n"] <= limit:
         return rows
-    if n["p"] > limit:
+    if n["p"] > limit and not overfull:
         raise ValueError(f"{n['p']} protected words exceed the limit of {limit}")
-    fit = kept.where(~shield).orderBy("rank", F.desc("zipf"), "word").limit(limit - n["p"]).select("word", F.lit(True).alias("fits"))
+    fit = kept.where(~shield).orderBy("rank", F.desc("zipf"), "word").limit(max(limit - n["p"], 0)).select("word", F.lit(True).alias("fits"))
     cut = (F.col("decision") == "keep") & ~shield & F.col("fits").isNull()
     out = rows.join(fit, "word", "left")
     return out.withColumn("reason", F.when(cut, "limit-cut").otherwise(F.col("reason"))).withColumn("decision", F.when(cut, "drop").otherwise(F.col("decision"))).drop("fits")
 
 
 def displaced(rows: DataFrame, limit: int, added: Column, protected: Column, guards: Column) -> DataFrame:
-    """Words that the cut keeps without the added ones and drops with them."""
-    full = capacity_cut(rows, limit, protected).where("decision = 'keep'").select("word")
-    bare = capacity_cut(rows.where(~F.coalesce(added, F.lit(False))), limit, guards).where("decision = 'keep'").select("word")
+    """Words that the cut keeps without the added ones and drops with them. Protected words beyond the limit displace all others: an audit has to show that, not to stop."""
+    full = capacity_cut(rows, limit, protected, overfull=True).where("decision = 'keep'").select("word")
+    bare = capacity_cut(rows.where(~F.coalesce(added, F.lit(False))), limit, guards, overfull=True).where("decision = 'keep'").select("word")
     return bare.join(full, "word", "left_anti")
 
 
