@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import text as X
 from wordloom.operators.casing import CAPITAL_STATUS, COMMON_CLASS, LEXICAL_CLASSES, LOWER_STATUS, ORDINARY_POS, PROPER_CLASSES, SURNAME
+from wordloom.sources.writers import settled
 
 #: A lemma with more than this share of all links is dealt to ``SALTS`` tasks; there are at most 1 / HEAVY of them.
 HEAVY, SALTS = 1 / 200, 32
@@ -123,7 +124,7 @@ def evidence(keys: DataFrame, tagged: DataFrame, analyses: DataFrame, explicit:
 
     keys: key. tagged: form, lemma, frequency, sgjp_status, classification. explicit, official, module: key, surface, policy.
     """
-    verdicts = lemma_verdicts(tagged)
+    verdicts = settled(lemma_verdicts(tagged), "lemma-verdicts")
     known = F.col("policy").isin(_UP, _LOW)
     spelled = F.when(F.lower(F.trim("surface")) == F.col("key"), F.trim("surface"))
     parts = [

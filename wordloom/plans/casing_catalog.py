@@ -22,7 +22,9 @@ def _corpus(forms):
 
 def _resolved(spark, d):
     forms = _forms(spark, d)
-    rows = E.evidence(forms.select(F.lower("form").alias("key")), _corpus(forms), D.analyses(forms), *(D.policies(forms, *p) for p in (EXPLICIT, OFFICIAL, MODULE)))
+    # Each is read by several branches of the union: drawn once, as every branch would else draw all digests again.
+    corpus, keys = settled(_corpus(forms), "tagged"), settled(forms.select(F.lower("form").alias("form")).distinct(), "keys")
+    rows = E.evidence(keys.select(F.col("form").alias("key")), corpus, settled(D.analyses(keys), "analyses"), *(D.policies(keys, *p) for p in (EXPLICIT, OFFICIAL, MODULE)))
     return E.resolve(rows)
 
 
