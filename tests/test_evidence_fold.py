@@ -102,3 +102,15 @@ def test_one_shuffle_on_the_key_and_empty_tables(spark):
     plan = E.resolve(spark.range(3).select(F.col("id").cast("string").alias("key"), F.lit(True).alias("asked"), *(F.lit(1).cast("long").alias(f"w_{w}") for w in E.WEIGHTS), F.lit(None).cast("struct<policy:string,basis:string>").alias("own"), F.lit("x").alias("lemma"), F.lit(1).cast("long").alias("n"), F.lit("corpus").alias("hop"), F.lit("capitalized").alias("policy"), F.lit("b").alias("basis"), *(F.lit(False).alias(c) for c in ("is_common", "is_adjective", "is_name", "is_lexical"))))
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert fold(spark, []) == {} and fold(spark, ["a"])["a"]["reason"] == "no-evidence"
+
+
+def test_forms_of_keys_are_those_of_the_corpus(spark, tmp_path):
+    from wordloom.plans import derived, registry_catalog
+
+    for t, text in (("documents", "Kot kot-Pies LAS"), ("conversations", "kot LAS las")):
+        spark.createDataFrame([(text,)], "text string").write.parquet(str(tmp_path / f"{t}.parquet"))
+    keys = spark.createDataFrame([("kot",), ("las",), ("las",), ("pies",)], "key string")
+    got = registry_catalog._forms_of(spark, str(tmp_path), keys)
+    assert sorted(map(tuple, got.collect())) == [("conversations", "LAS", 1), ("conversations", "kot", 1), ("conversations", "las", 1), ("documents", "Kot", 1), ("documents", "LAS", 1)]
+    # Digests are drawn from the staged forms: no plan over them reads the texts.
+    assert "text" not in derived.analyses(got)._jdf.queryExecution().optimizedPlan().toString()

@@ -64,18 +64,24 @@ def merged_modules(spark, d):
     return found.unionByName(lacking)
 
 
+def _forms_of(spark, d, keys):
+    """The forms of both text tables whose lower case is among ``keys``, staged: a filter on digests would else be drawn for every token of the corpus."""
+    every = D.forms(spark, d)
+    return writers.settled(every.join(keys.select("key").distinct(), F.lower("form") == F.col("key"), "left_semi"), "forms-of-keys")
+
+
 def variant_entries(spark, d):
     """A JSON entry for each word of the benchmark."""
-    forms = D.forms(spark, d)
     spelled = _t(spark, d, "benchmark").select(F.explode(X.components(F.col("text"))).alias("surface")).withColumn("key", F.lower("surface"))
     keys = spelled.select("key").distinct()
-    return registry.variant_entries(_spelled(spark, d, "benchmark"), spelled, casing.analysis_flags(keys, D.analyses(forms)))
+    return registry.variant_entries(_spelled(spark, d, "benchmark"), spelled, casing.analysis_flags(keys, D.analyses(_forms_of(spark, d, keys))))
 
 
 def common_homonyms(spark, d):
     """Capitalized words of conversations that are common nouns in lower case."""
     names = _t(spark, d, "conversations").select(F.explode(X.components(F.col("text"))).alias("name")).where(X.starts_upper(F.col("name"))).distinct()
-    return casing.homonym_audit(names, D.analyses(D.forms(spark, d)))
+    names = writers.settled(names, "names")
+    return casing.homonym_audit(names, D.analyses(_forms_of(spark, d, names.select(F.lower("name").alias("key")))))
 
 
 def shared_words(spark, d):
