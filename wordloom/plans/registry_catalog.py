@@ -182,7 +182,8 @@ LISTS = tuple(n for n, _ in (*selecting.DROP_LISTS, *selecting.KEEP_LISTS))
 def cascade_lists(spark, d):
     """C1, C2 with every list in force: each word of both text tables is on some of the lists, or on none."""
     forms = writers.settled(D.forms(spark, d), "forms")
-    words = forms.groupBy(F.lower("form").alias("word")).agg(F.sum("n").alias("cnt"))
+    # Staged: each of the lists below reads it.
+    words = writers.settled(forms.groupBy(F.lower("form").alias("word")).agg(F.sum("n").alias("cnt")), "words")
     sets = {n: words.where(D.digit(f"l{i}", F.col("word")) == 0).select("word") for i, n in enumerate(LISTS)}
     sets |= {"spell": words.where("cnt >= 2").select("word"), "keyboard": forms.where("source = 'conversations'").select(F.lower("form").alias("word"))}
     rival = words.where(D.digit("f", F.col("word")) < 2).select("word", F.lit("en").alias("rival"))
