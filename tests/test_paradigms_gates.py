@@ -50,6 +50,25 @@ def test_first_rows_and_their_conflicts(spark):
     assert rows(bad, "value", "rows", "kept") == sorted([("ŁÓDŹ", 1, True), ("Łódź", 1, False), ("łódź", 2, False)])
 
 
+def test_first_rows_by_one_number_equal_those_by_structs(spark):
+    low, high = -(2**63), 2**63 - 1
+    docs = [None, low, low + 1, -1, 0, 1, 2, high - 1, high]
+    data = [(d, at, s) for i, s in enumerate(("Kot", "kot", "KOT", "ŁÓDŹ", "łódź", "pies", None)) for j, d in enumerate(docs) if (i * 5 + j) % 3 for at in (None, -(2**31), -1, 0, 2**31 - 1)[(i + j) % 5 :]]
+    data += [(5, 5, "Żuk"), (5, 5, "żuk"), (None, None, "Oko"), (None, None, "oko"), (low, -(2**31), "Ul"), (low, None, "ul")]
+    df = spark.createDataFrame(data, "doc long, at int, s string").repartition(5)
+    first, bad = casing.keep_first(df, "s", ["doc", "at"], "s")
+    plain, plain_bad = casing.keep_first(df.withColumn("zz", F.lit(0)), "s", ["doc", "at"], "s")
+    values = lambda f, *c: sorted(map(str, f.select(*c).collect()))
+    assert values(first, "key", "doc", "at", "s") == values(plain, "key", "doc", "at", "s") and first.columns == ["doc", "at", "s", "key"]
+    assert values(bad, "key", "value", "rows", "kept") == values(plain_bad, "key", "value", "rows", "kept")
+    one, _ = casing.keep_first(df.select("doc", "s"), "s", ["doc"], "s")
+    assert values(one, "key", "doc", "s") == values(casing.keep_first(df.selectExpr("doc", "s", "0 zz"), "s", ["doc"], "s")[0], "key", "doc", "s")
+    # The numbers are ranked by a hash aggregate, structs by a sort of all rows.
+    place, _ = casing._place(df, ["doc", "at"])
+    plan = lambda f: f._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" not in plan(df.groupBy("s").agg(F.min(place))) and "SortAggregate" in plan(df.groupBy("s").agg(F.min(F.struct("doc", "at"))))
+
+
 def test_ledger_counts_while_writing(spark, tmp_path):
     book = Ledger()
     df = spark.range(100).withColumn("odd", F.col("id") % 2 == 1).repartition(4)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.config import LexiconConfig
 from wordloom.functions import text as X
+from wordloom.sources.writers import settled
 
 # Statuses and classes of the tagged corpus.
 CAPITAL_STATUS = ("SGJP-LMM-CAPITAL",)
@@ -213,13 +214,41 @@ def related_forms(words: DataFrame, cfg: LexiconConfig, lemmas: DataFrame | None
     return folds.distinct().groupBy("group").agg(F.sort_array(F.collect_set("word")).alias("forms")).where(F.size("forms") > 1)
 
 
+_WHOLE = {"tinyint", "smallint", "int"}
+_NULL = (-(2**63) - 1, -(2**31) - 1)
+
+
+def _place(rows: DataFrame, order: list[str]) -> tuple[Column, dict[str, Column]]:
+    """An order of a whole number and maybe an int as one decimal (nulls first), and how to read its columns back from ``place``."""
+    kinds = dict(rows.dtypes)
+    dec = lambda x: F.lit(str(x)).cast("decimal(20,0)")
+    whole = lambda c, none: F.coalesce(F.col(c).cast("decimal(20,0)"), dec(none))
+    back = lambda c, x, none: F.when(x != dec(none), x.cast(kinds[c])).alias(c)
+    if len(order) == 1:
+        return whole(order[0], _NULL[0]), {order[0]: back(order[0], F.col("place"), _NULL[0])}
+    base = F.lit(2**33).cast("decimal(11,0)")
+    low = F.pmod("place", base)
+    high = ((F.col("place") - low) / base).cast("decimal(20,0)")
+    packed = (whole(order[0], _NULL[0]) * base + whole(order[1], _NULL[1]) + F.lit(2**32).cast("decimal(11,0)")).cast("decimal(32,0)")
+    return packed, {order[0]: back(order[0], high, _NULL[0]), order[1]: back(order[1], (low - F.lit(2**32)).cast("decimal(20,0)"), _NULL[1])}
+
+
 def keep_first(rows: DataFrame, key: str, order: list[str], value: str) -> tuple[DataFrame, DataFrame]:
     """The first row of each lower key by an explicit order; and (key, value, rows, kept) of keys whose value differs.
 
     Both come from one aggregate by key and value, so a key's rows are never brought together: first the best row of each value, then the best of those.
+    Rows of an order of whole numbers and the value alone are ranked by one number, which a hash aggregate can hold; a struct makes Spark sort all rows.
     """
-    whole = F.struct(*rows.columns)
-    each = rows.groupBy(F.lower(key).alias("key"), F.col(value).alias("value")).agg(F.min(F.struct(F.struct(*order).alias("o"), whole.alias("row"))).alias("first"), F.count("*").alias("rows"))
+    kinds = dict(rows.dtypes)
+    lean = set(rows.columns) == {*order, value} and value not in order and kinds[order[0]] in {*_WHOLE, "bigint"} and (len(order) == 1 or len(order) == 2 and kinds[order[1]] in _WHOLE)
+    if lean and key == value:
+        place, back = _place(rows, order)
+        found = rows.groupBy(F.col(value).alias("value")).agg(F.min(place).alias("place"), F.count("*").alias("rows"))
+        whole = F.struct(*(back.get(c, F.col("value").alias(c)) for c in rows.columns))
+        each = found.select(F.lower("value").alias("key"), "value", F.struct("place", "value", whole.alias("row")).alias("first"), "rows")
+    else:
+        each = rows.groupBy(F.lower(key).alias("key"), F.col(value).alias("value")).agg(F.min(F.struct(F.struct(*order).alias("o"), F.struct(*rows.columns).alias("row"))).alias("first"), F.count("*").alias("rows"))
+    each = settled(each, "first-rows")  # else the rows are read and ranked once for the best and once for the conflicts
     per = each.groupBy("key").agg(F.min("first").alias("first"), F.count("*").alias("n_values"))
     bad = each.withColumnRenamed("first", "own").join(per.where("n_values > 1"), "key").select("key", "value", "rows", (F.col("own") == F.col("first")).alias("kept"))
     return per.select("first.row.*", "key") if "key" not in rows.columns else per.select("first.row.*"), bad
