@@ -168,3 +168,46 @@ def test_keep_one_takes_similar_texts_and_leaves_others(spark):
     assert len(similar) > 15 and sum(k in left for k in similar) <= 0.1 * len(similar) and set(near) - set(similar) <= left
     apart = [int(np.bitwise_count(wide_fingerprint(shingle_set(texts[k])) ^ wide_fingerprint(shingle_set(texts[k + 1]))).sum()) for k in range(50)]
     assert min(apart) > 1.5 * ACCEPT and keep_one(documents(spark, [])).count() == 0
+
+
+def test_a_large_group_of_near_copies_is_compared_in_rows_that_grow_with_it(spark, monkeypatch):
+    from wordloom.llm import simhash
+
+    rng = random.Random(21)
+    texts = []
+    base = [prose(rng, 150).split() for _ in range(9)]
+    # Near copies of one text that differ in their own places, and fewer of eight others: they meet under many keys.
+    for k in range(400):
+        words = list(base[0] if k % 2 else base[1 + k // 2 % 8])
+        for at in rng.sample(range(150), rng.randrange(3)):
+            words[at] = f"w{rng.random()}"
+        texts.append(" ".join(words))
+    texts = sorted(set(texts))
+    hashes = [shingle_set(t) for t in texts]
+    nodes = spark.createDataFrame([(k, *wide_fingerprint(h).view(np.int64).tolist()) for k, h in enumerate(hashes)], "id long, " + ", ".join(f"w{k} long" for k in range(6))).repartition(3)
+    table = spark.createDataFrame([(k, bytearray((h >> np.uint64(32)).astype("<u4").tobytes())) for k, h in enumerate(hashes)], "id long, shingles binary")
+    made, stage, compared = {}, simhash.staged, simhash._similar_runs
+
+    def counted(df, name, *more):
+        out = stage(df, name, *more)
+        made[name] = out.count()
+        return out
+
+    def counted_rows(laid, sets):
+        made.setdefault("compared", []).append(laid.count())
+        return compared(laid, sets)
+
+    monkeypatch.setattr(simhash, "staged", counted)
+    monkeypatch.setattr(simhash, "_similar_runs", counted_rows)
+    monkeypatch.setattr(simhash, "PIVOTS", 10)
+    results = []
+    for size in (32 << 20, 16_000):
+        monkeypatch.setattr(simhash, "SET_BYTES", size)
+        made.clear()
+        label = {r["node"]: r["component"] for r in connected_components(similar_links(nodes, table)).collect()}
+        results.append(label)
+        assert made["simhash-candidates"] <= len(texts)
+        blocks = 4 * sum(map(len, hashes)) // size + 1
+        # A row once, the pivots in each block; what is linked through them isn't compared again.
+        assert made["compared"][0] <= len(texts) + 60 * blocks * (blocks > 1) and sum(made["compared"][1:]) <= 10 * blocks
+    assert results[0] == results[1] and len(set(results[0].values())) == 9

@@ -14,9 +14,9 @@
 
 ``keep_one`` also takes a Jaccard similarity of 0.8 or more over distinct five-word shingles: too far for one word of 64 bits, so a text gets
 ``WORDS`` independent ones from the same hashes. Each word is searched as above; rows that meet and lie within ``ACCEPT`` of all
-384 bits are candidates only (58 bits are expected at 0.8, ``ACCEPT`` is 3.7 standard deviations above). A run hands on the members of its
-candidate groups, equal groups of different runs count once, and every candidate is compared by its whole set of shingle hashes: no link
-stands on fingerprint bits, and groups above ``SET_BYTES`` are split into pairs of blocks. Texts that never meet under a part are missed: the
+384 bits are candidates only (58 bits are expected at 0.8, ``ACCEPT`` is 3.7 standard deviations above). A run hands on a forest of its
+candidate links; each component of all of them is one group, whose texts are compared by their whole sets of shingle hashes: no link
+stands on fingerprint bits, and groups above ``SET_BYTES`` are split into blocks. Texts that share no candidate component are missed: the
 expected recall at a similarity of 0.8 is 0.98 (0.95 beyond 2^24 texts, where parts are wider and probed one bit further), at 0.85 above 0.99.
 
 Rows: a null, empty or blank text has fingerprint 0 and links like any other; repeated rows
@@ -45,6 +45,8 @@ WORDS, ACCEPT, SIMILAR_SHINGLE = 6, 84, 5
 SIMILAR = (4, 5)
 #: Shingle hashes that one task compares at once.
 SET_BYTES = 32 << 20
+#: Rows of a group of several blocks that are compared in each of them, about.
+PIVOTS = 64
 #: Rows of one key that are compared in one task; more are split into pairs of blocks.
 HOT = 30_000
 #: What a probe costs, in verified candidates.
@@ -360,8 +362,8 @@ def links(nodes: DataFrame, radius: int = RADIUS, widths: list[int] | None = Non
     return _forest(_keyed(nodes, parts, value_counts(nodes, parts), n, radius), "fp", ["fp"], radius)
 
 
-def candidate_groups(nodes: DataFrame, accept: int = ACCEPT) -> DataFrame:
-    """grp, id: rows (id, w0, w1, ...) that meet and lie within ``accept`` bits of another share a group; equal groups are one."""
+def candidate_links(nodes: DataFrame, accept: int = ACCEPT) -> DataFrame:
+    """a, b: links that connect all rows (id, w0, w1, ...) which meet under a part and lie within ``accept`` bits."""
     names = sorted((c for c in nodes.columns if c != "id"), key=lambda c: int(c[1:]))
     keyed_rows = None
     for k, name in enumerate(names):
@@ -371,18 +373,7 @@ def candidate_groups(nodes: DataFrame, accept: int = ACCEPT) -> DataFrame:
         parts = group_bits(n, joint, widths)
         some = _keyed(word, parts, value_counts(word, parts), n, radius, ("id", *names)).withColumn("key", F.col("key") + F.lit(k << 43))
         keyed_rows = some if keyed_rows is None else keyed_rows.unionByName(some)
-
-    def members(run_id: np.ndarray, ids: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        # Positions stand for rows: runs are disjoint, so a component never leaves its run.
-        label = local_components(len(ids), *_verified(run_id, np.arange(len(ids)), prints, accept))
-        mixed = ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        total = np.zeros(len(ids), dtype=np.uint64)
-        np.add.at(total, label, mixed ^ (mixed >> np.uint64(32)))
-        many = np.bincount(label, minlength=len(ids))[label] > 1
-        return total[label[many]].view(np.int64), ids[many]
-
-    return _runs(keyed_rows, "id", names, members, lambda a, b: (a, b), "grp long, id long").distinct()
+    return _forest(keyed_rows, "id", names, accept)
 
 
 def similar_within(sets: list[np.ndarray], similar: tuple[int, int] = SIMILAR) -> list[tuple[int, int]]:
@@ -408,13 +399,38 @@ def similar_within(sets: list[np.ndarray], similar: tuple[int, int] = SIMILAR) -
 
 
 def similar_links(nodes: DataFrame, sets: DataFrame, accept: int = ACCEPT) -> DataFrame:
-    """a, b: links between ids that connect all candidates of ``nodes`` (id, w0, w1, ...) whose ``sets`` (id, shingles) are similar."""
-    member = staged(candidate_groups(nodes, accept), "simhash-candidates")
-    bytes_of = sets.select("id", F.length("shingles").cast("long").alias("n"))
-    blocks = member.join(bytes_of, "id").groupBy("grp").agg(F.ceil(F.sum("n") / SET_BYTES).cast("int").alias("blocks"))
-    laid = member.join(blocks, "grp").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    laid = laid.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    laid = laid.select("id", "grp", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    """a, b: links between ids that connect all candidates of ``nodes`` (id, w0, w1, ...) whose ``sets`` (id, shingles) are similar.
+
+    Candidates of one component are a group, so an id has one row. A group above ``SET_BYTES`` is dealt to blocks, each with some
+    ``PIVOTS`` rows of the whole group: what is alike in all blocks links through them. Only the rows that then are outside
+    the group's largest component go to all of its blocks, as two rows inside need no link of their own.
+    """
+    found = connected_components(candidate_links(nodes, accept)).select(F.col("node").alias("id"), F.col("component").alias("grp"))
+    member = staged(found.join(sets.select("id", F.length("shingles").cast("long").alias("n")), "id"), "simhash-candidates")
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.sum(n) / SET_BYTES)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    groups = member.groupBy("grp").agg(blocks("n").alias("blocks"), F.count("*").alias("rows"))
+    laid = staged(member.join(groups, "grp").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "simhash-blocks")
+    pivot = F.pmod(F.xxhash64("id", F.lit("pivot")), F.greatest(F.ceil(F.col("rows") / PIVOTS), 2 * F.col("blocks"))) == 0
+    own = laid.select("grp", F.lit(0).alias("slot"), F.col("own").alias("block"), "id")
+    large = laid.where("blocks > 1")
+    shared = large.where(pivot).select("grp", F.lit(0).alias("slot"), upto("blocks").alias("block"), "id")
+    near = _similar_runs(own.unionByName(shared).distinct(), sets)
+    if large.isEmpty():
+        return near
+    near = staged(near, "simhash-similar-blocks")
+    label = connected_components(near.join(large.select(F.col("id").alias("a")), "a", "left_semi")).withColumnRenamed("node", "id")
+    named = staged(large.join(label, "id", "left").withColumn("component", F.coalesce("component", "id")), "simhash-labelled")
+    most = named.groupBy("grp", "component").agg(F.sum("n").alias("n")).groupBy("grp").agg(F.max(F.struct("n", "component"))["component"].alias("most"))
+    rest = named.join(most, "grp").where("component <> most")
+    slots = rest.groupBy("grp").agg(blocks("n").alias("slots"))
+    asked = rest.join(slots, "grp").select("grp", F.pmod(F.xxhash64("id", F.lit("slot")), F.col("slots")).cast("int").alias("slot"), upto("blocks").alias("block"), "id")
+    held = named.join(slots, "grp").select("grp", upto("slots").alias("slot"), F.col("own").alias("block"), "id")
+    return near.unionByName(_similar_runs(held.unionByName(asked).distinct(), sets))
+
+
+def _similar_runs(laid: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: links that connect the similar rows of each grp, slot and block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -427,7 +443,7 @@ def similar_links(nodes: DataFrame, sets: DataFrame, accept: int = ACCEPT) -> Da
                 found.append((at[:, 0], at[:, 1]))
 
         for batch in batches:
-            cols = [batch.column(c) for c in ("grp", "lo", "hi", "id", "shingles")]
+            cols = [batch.column(c) for c in ("grp", "slot", "block", "id", "shingles")]
             for *of, ident, packed in zip(*(c.to_pylist() for c in cols[:4]), cols[4]):
                 if of != now:
                     settle()
@@ -441,7 +457,7 @@ def similar_links(nodes: DataFrame, sets: DataFrame, accept: int = ACCEPT) -> Da
             a, b = star_edges(*(np.concatenate(x) for x in zip(*found)))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    full = laid.join(sets.select("id", "shingles"), "id").repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi")
+    full = laid.join(sets.select("id", "shingles"), "id").repartition("grp", "slot", "block").sortWithinPartitions("grp", "slot", "block")
     return full.mapInArrow(run, "a long, b long")
 
 
