@@ -383,3 +383,16 @@ def test_yearly_tables_by_their_header(spark, tmp_path):
     (tmp_path / "t.csv").write_text("IMIE,PLEC,Rok,Liczba\nANNA,K,2001,7\nANNA,K,2001,1\nANNA,K,1950,7\nJAN,M,rok,1\n")
     good, bad = readers.read_yearly(spark, str(tmp_path / "t.csv"), range(2001, 2003))
     assert rows(good, "name", "year", "cnt") == [("Anna", 2001, 8)] and rows(bad, "raw_year", "rejected") == [("rok", "year")]
+
+
+def test_bigram_weights_do_not_deal_all_pairs_by_language(spark):
+    docs = spark.createDataFrame([("en", "a b a b c"), ("fr", "x y"), ("en", None)], "lang string, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = counts.bigrams(docs)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(map(tuple, got.select("lang", "previous", "current", "cnt", "weight").collect())) == [("en", "a", "b", 2, 1000), ("en", "b", "a", 1, 500), ("en", "b", "c", 1, 500), ("fr", "x", "y", 1, 1000)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
