@@ -1,5 +1,7 @@
 """Literal rows with the edge cases of each operator."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from wordloom.config import WESTERN, LexiconConfig
 from wordloom.functions import records as R
 from wordloom.functions import text as X
 from wordloom.operators import casing, counts, coverage, gates, history, modules, profiles, registry, selecting
+from wordloom.plans import catalog
 from wordloom.sources import readers, writers
 from wordloom.streaming import streams
 
@@ -396,3 +399,17 @@ def test_bigram_weights_do_not_deal_all_pairs_by_language(spark):
         assert sorted(map(tuple, got.select("lang", "previous", "current", "cnt", "weight").collect())) == [("en", "a", "b", 2, 1000), ("en", "b", "a", 1, 500), ("en", "b", "c", 1, 500), ("fr", "x", "y", 1, 1000)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_pairs_are_sorted_by_word_before_language_and_read_in_small_pieces(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "en", "a b a b c"), (2, "fr", "b a, b c"), (3, "en", "a d a c"), (4, "en", None), (5, "fr", "x")], "doc_id long, lang string, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = catalog.bigram_topk(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # A count or a sort that leaves memory compares the first eight bytes of its first key: a language has one value there.
+    firsts = [x for x in re.findall(r"(?:HashAggregate\(keys=|Sort )\[([^\]]*)\]", plan) if "," in x]
+    assert len(firsts) >= 4 and not [x for x in firsts if x.startswith("lang")]
+    assert "hashpartitioning(doc_id#" in plan and f", {counts.PIECES}), REPARTITION_BY_NUM" in plan
+    want = [("en", "a", "b", 2, 1, 1000), ("en", "a", "c", 1, 2, 500), ("en", "a", "d", 1, 3, 500), ("en", "b", "a", 1, 1, 500), ("en", "b", "c", 1, 2, 500), ("en", "d", "a", 1, 1, 500)]
+    want += [("fr", "a", "b", 1, 1, 1000), ("fr", "b", "a", 1, 1, 1000), ("fr", "b", "c", 1, 2, 1000)]
+    assert rows(got, "lang", "previous", "current", "cnt", "position", "weight") == want
